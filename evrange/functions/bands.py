@@ -1,0 +1,55 @@
+"""Mileage bands written as text: `symbol,number,symbol,number`.
+
+`>=,0,<,10000` means [0, 10000); an empty symbol leaves that side open. A band that
+does not split into four parts, has an unknown symbol, or a bound that is not a
+number next to a symbol, is unusable and never matches.
+"""
+
+from pyspark.sql import Column, functions as F
+
+SYMBOLS = (">", ">=", "<", "<=")  # fixed values
+
+
+def _bound(parts: Column, i: int) -> Column:
+    return F.get(parts, F.lit(i)).try_cast("double")
+
+
+def _side_known(symbol: Column, bound: Column) -> Column:
+    return (symbol == "") | (symbol.isin(*SYMBOLS) & bound.isNotNull())
+
+
+def parse_band(text: Column) -> Column:
+    """Struct (low_symbol, low, high_symbol, high, usable); a null text gives usable = null."""
+    parts = F.split(text, ",", -1)
+    four = F.size(parts) == 4
+    low_symbol, high_symbol = F.get(parts, F.lit(0)), F.get(parts, F.lit(2))
+    low, high = _bound(parts, 1), _bound(parts, 3)
+    usable = F.when(text.isNotNull(),
+                    four & _side_known(low_symbol, low) & _side_known(high_symbol, high))
+    return F.struct(
+        low_symbol.alias("low_symbol"), low.alias("low"),
+        high_symbol.alias("high_symbol"), high.alias("high"), usable.alias("usable"))
+
+
+def compare(symbol: Column, bound: Column, x: Column) -> Column:
+    """`x <symbol> bound`; true for an empty symbol, null for an unknown one.
+
+    Comparing with NaN is false on every symbol, unlike Spark's own ordering.
+    """
+    number = ~F.isnan(bound) & ~F.isnan(x)
+    return (F.when(symbol == ">", number & (x > bound))
+            .when(symbol == ">=", number & (x >= bound))
+            .when(symbol == "<", number & (x < bound))
+            .when(symbol == "<=", number & (x <= bound))
+            .when(symbol == "", F.lit(True)))
+
+
+def band_contains(band: Column, x: Column) -> Column:
+    """Does a usable parsed band hold `x`?"""
+    return (compare(band["low_symbol"], band["low"], x)
+            & compare(band["high_symbol"], band["high"], x))
+
+
+def last_match(bands: Column, x: Column) -> Column:
+    """The last band of the array that holds `x`, or null."""
+    return F.try_element_at(F.filter(bands, lambda b: band_contains(b, x)), F.lit(-1))

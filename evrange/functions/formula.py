@@ -1,0 +1,110 @@
+"""Calibration formulas stored as text, e.g. `soc*0.95+2`.
+
+The text is data and is never executed: it is parsed against a short list of allowed
+nodes (numbers, `soc`, + - * /, signs, parentheses) and turned into a Column of
+built-in arithmetic. Anything else, and a division by zero, gives null, which callers
+replace by the -1.0 marker.
+"""
+
+import ast
+import re
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, functions as F
+
+# Beyond this many distinct texts a CASE chain makes the generated code too large to
+# compile well, and the Arrow path evaluates the same parse trees instead.
+MAX_COMPILED = 64
+
+_ALLOWED = re.compile(r"[0-9eE.+\-*/()\s]*")
+_OPERATORS = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/"}
+
+
+def parse(text):
+    """Nested tuples ("num", x) | ("soc",) | ("neg", a) | (op, a, b), or None if rejected."""
+    if text is None or not _ALLOWED.fullmatch(re.sub(r"\bsoc\b", "", text)):
+        return None
+    try:
+        return _walk(ast.parse(text.strip(), mode="eval").body)
+    except (SyntaxError, ValueError, OverflowError, RecursionError, MemoryError):
+        return None
+
+
+def _walk(node):
+    if isinstance(node, ast.Constant) and type(node.value) in (int, float):
+        return ("num", float(node.value))
+    if isinstance(node, ast.Name) and node.id == "soc":
+        return ("soc",)
+    if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.USub):
+        return ("neg", _walk(node.operand))
+    if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.UAdd):
+        return _walk(node.operand)
+    if isinstance(node, ast.BinOp) and type(node.op) in _OPERATORS:
+        return (_OPERATORS[type(node.op)], _walk(node.left), _walk(node.right))
+    raise ValueError("not part of the formula grammar")
+
+
+def to_column(tree, soc: Column) -> Column:
+    """The parse tree as a double Column; `soc` must already be a double."""
+    kind = tree[0]
+    if kind == "num":
+        return F.lit(tree[1])
+    if kind == "soc":
+        return soc
+    if kind == "neg":
+        return -to_column(tree[1], soc)
+    left, right = to_column(tree[1], soc), to_column(tree[2], soc)
+    if kind == "/":
+        return F.try_divide(left, right)
+    return {"+": left + right, "-": left - right, "*": left * right}[kind]
+
+
+def _evaluate(tree, soc: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Value per element; elements that divide by zero are flagged in `bad`."""
+    kind = tree[0]
+    if kind == "num":
+        return np.full(len(soc), tree[1])
+    if kind == "soc":
+        return soc
+    if kind == "neg":
+        return -_evaluate(tree[1], soc, bad)
+    left, right = _evaluate(tree[1], soc, bad), _evaluate(tree[2], soc, bad)
+    if kind == "/":
+        bad |= right == 0
+        return np.divide(left, right)
+    return {"+": np.add, "-": np.subtract, "*": np.multiply}[kind](left, right)
+
+
+def evaluate_batch(rule: pd.Series, soc: pd.Series) -> pd.Series:
+    """One Arrow batch: group the rows by formula text and evaluate each group at once."""
+    out = pd.Series([None] * len(rule), dtype="object")
+    values = soc.to_numpy(dtype="float64", na_value=np.nan)
+    for text, rows in rule.groupby(rule).indices.items():
+        tree = parse(text)
+        if tree is None:
+            continue
+        bad = np.isnan(values[rows])
+        with np.errstate(all="ignore"):
+            result = _evaluate(tree, values[rows], bad)
+        out.iloc[rows[~bad]] = result[~bad]
+    return out
+
+
+def rule_value(rule: Column, soc: Column, texts=None) -> Column:
+    """Value of the formula `rule` at `soc`; null when it cannot be evaluated.
+
+    `texts` lists every distinct formula that can occur. With at most MAX_COMPILED of
+    them the result is pure built-in expressions; otherwise, or with None, formulas are
+    evaluated in Arrow batches.
+    """
+    x = soc.cast("double")
+    if texts is None or len(texts) > MAX_COMPILED:
+        return F.pandas_udf(evaluate_batch, "double")(rule, x)
+    chain = None
+    for text in sorted(t for t in texts if t is not None):
+        tree = parse(text)
+        if tree is not None:
+            branch = (rule == text, to_column(tree, x))
+            chain = F.when(*branch) if chain is None else chain.when(*branch)
+    return F.lit(None).cast("double") if chain is None else chain

@@ -1,0 +1,177 @@
+"""Average consumption per vehicle, carried from run to run.
+
+Two modes. "seed": the first qualifying drive of a vehicle is kept for good, and every
+later drive is averaged with that first one only. "cumulative": sums over all qualifying
+drives so far. The state table has one row per vehicle; with hot vehicles it has one row
+per (vehicle, slice), which is how the running value crosses a cut.
+"""
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..functions.scalars import finite_or_zero, fixed
+from .skew import SLICE, Slices
+
+MODES = ("seed", "cumulative")
+
+# Running sums are decimals: double addition depends on grouping, and a sum must come out
+# the same whether a vehicle is read in one slice or ten, in one run or two.
+EXACT = "decimal(28,12)"
+EXACT_SUM = "decimal(37,12)"
+STATE_COLUMNS = ["vin", "sum_real_difference", "electric_quantity", "sum_run_mileage"]
+
+
+def qualifies() -> Column:
+    """Does the pair take part in the average? Expects real_difference, run_mileage, rear_quantity."""
+    rd, rm = F.col("real_difference"), F.col("run_mileage")
+    return ((rd != 0) & rm.isNotNull() & (rm != 0)
+            & F.col("rear_quantity").isNotNull())
+
+
+def _drive() -> Column:
+    return F.struct(F.col("real_difference").alias("rd"), F.col("run_mileage").alias("rm"))
+
+
+def _exact(x: Column, when: Column = None) -> Column:
+    """Value as a decimal; NaN and infinities do not enter a sum."""
+    x = x.try_cast(EXACT)
+    return x if when is None else F.when(when, x)
+
+
+def _saved(state: DataFrame, name: str, mode: str) -> DataFrame:
+    kind = "double" if mode == "seed" else EXACT_SUM
+    return state.select("vin", F.struct(
+        F.col("sum_real_difference").try_cast(kind).alias("rd"),
+        F.col("sum_run_mileage").try_cast(kind).alias("rm")).alias(name))
+
+
+def slice_state(hot_pairs: DataFrame, state: DataFrame, slices: Slices, mode: str) -> DataFrame:
+    """What each slice of a hot vehicle inherits: one row per slice, so bounded by the cuts."""
+    order = F.struct(*[F.col(c) for c in slices.order])
+    per_slice = hot_pairs.groupBy("vin", SLICE).agg(
+        F.min_by(F.when(F.col("qualifies"), _drive()), F.when(F.col("qualifies"), order)).alias("first"),
+        F.sum(_exact(F.col("real_difference"), F.col("qualifies"))).alias("rd"),
+        F.sum(_exact(F.col("run_mileage"), F.col("qualifies"))).alias("rm"))
+    earlier = (Window.partitionBy("vin").orderBy(SLICE)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    saved = _saved(state, "saved", mode)
+    inherited = per_slice.select(
+        "vin", SLICE, F.first("first", ignorenulls=True).over(earlier).alias("first"),
+        F.sum("rd").over(earlier).cast(EXACT_SUM).alias("rd"),
+        F.sum("rm").over(earlier).cast(EXACT_SUM).alias("rm"))
+    # the few slice rows go to the state, not the state to them
+    inherited = saved.join(F.broadcast(inherited), "vin", "right")
+    if mode == "seed":
+        base = F.coalesce(F.col("saved"), F.col("first"))
+    else:
+        total = lambda c: _plus(F.col(f"saved.{c}"), F.col(c)).alias(c)
+        base = F.when(F.col("saved").isNotNull() | F.col("rd").isNotNull(),
+                      F.struct(total("rd"), total("rm")))
+    return inherited.select("vin", SLICE, base.alias("base"))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    zero = F.lit(0).cast(EXACT_SUM)
+    return (F.coalesce(a, zero) + F.coalesce(b, zero)).cast(EXACT_SUM)
+
+
+def with_average(pairs: DataFrame, slices: Slices, order, state: DataFrame = None,
+                 mode: str = "seed", hot_pairs: DataFrame = None) -> DataFrame:
+    """Add `qualifies`, `starts_state` and `avg_electric_quantity_100km`.
+
+    `hot_pairs` are the same pairs restricted to hot vehicles, needed only when `slices`
+    has any.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
+    keys = slices.keys
+    pairs = pairs.withColumn("qualifies", F.coalesce(qualifies(), F.lit(False)))
+    base = None
+    if state is not None:
+        base = _saved(state, "base", mode)
+    if slices.hot:
+        empty = state if state is not None else _no_state(pairs)
+        hot = slice_state(hot_pairs.withColumn("qualifies", F.coalesce(qualifies(), F.lit(False))),
+                          slices.only_hot(empty), slices, mode)
+        base = hot if base is None else hot.unionByName(
+            slices.without_hot(base).select("vin", F.lit(0).alias(SLICE), "base"))
+    if base is None:
+        kind = "double" if mode == "seed" else EXACT_SUM
+        pairs = pairs.withColumn("base", F.lit(None).cast(f"struct<rd:{kind},rm:{kind}>"))
+    else:
+        pairs = pairs.join(base, keys, "left")
+
+    so_far = (Window.partitionBy(*keys).orderBy(*order)
+              .rowsBetween(Window.unboundedPreceding, 0))
+    q = F.col("qualifies")
+    rd, rm, quantity = F.col("real_difference"), F.col("run_mileage"), F.col("rear_quantity")
+    nth = F.count(F.when(q, 1)).over(so_far)
+    starts = q & F.col("base").isNull() & (F.col("__nth") == 1)
+    if mode == "seed":
+        pairs = (pairs.withColumn("__nth", nth)
+                 .withColumn("__first", F.first(F.when(q, _drive()), ignorenulls=True).over(so_far)))
+        seed = F.coalesce(F.col("base"), F.col("__first"))
+        later = F.try_divide((seed["rd"] + rd) / 100.0 * quantity, seed["rm"] + rm)
+        value = F.when(starts, rd / 100.0 * quantity / rm).otherwise(F.coalesce(later, F.lit(0.0)))
+    else:
+        pairs = (pairs.withColumn("__nth", nth)
+                 .withColumn("__rd", F.sum(_exact(rd, q)).over(so_far).cast(EXACT_SUM))
+                 .withColumn("__rm", F.sum(_exact(rm, q)).over(so_far).cast(EXACT_SUM)))
+        sum_rd = _plus(F.col("base.rd"), F.col("__rd")).cast("double")
+        sum_rm = _plus(F.col("base.rm"), F.col("__rm")).cast("double")
+        value = F.coalesce(F.try_divide(sum_rd / 100.0 * quantity, sum_rm), F.lit(0.0))
+    return (pairs.withColumn("starts_state", F.coalesce(starts, F.lit(False)))
+            .withColumn("avg_electric_quantity_100km", F.when(q, fixed(finite_or_zero(value), 4)))
+            .drop("base", "__nth", "__first", "__rd", "__rm"))
+
+
+def _no_state(like: DataFrame) -> DataFrame:
+    return like.select("vin", *[F.lit(0.0).alias(c) for c in STATE_COLUMNS[1:]]).where(F.lit(False))
+
+
+def next_state(scored: DataFrame, order, state: DataFrame = None, mode: str = "seed") -> DataFrame:
+    """The state after a run. Seed mode only adds vehicles; cumulative mode replaces sums."""
+    if mode == "seed":
+        new = scored.where("starts_state").select(
+            "vin", F.col("real_difference").alias("sum_real_difference"),
+            F.col("rear_quantity").alias("electric_quantity"),
+            F.col("run_mileage").alias("sum_run_mileage"))
+        return new if state is None else state.select(STATE_COLUMNS).unionByName(new)
+    position = F.struct(*[F.col(c) for c in order])
+    new = scored.where("qualifies").groupBy("vin").agg(
+        F.sum(_exact(F.col("real_difference"))).cast(EXACT_SUM).alias("sum_real_difference"),
+        F.max_by("rear_quantity", position).alias("electric_quantity"),
+        F.sum(_exact(F.col("run_mileage"))).cast(EXACT_SUM).alias("sum_run_mileage"))
+    runs = new.select(*STATE_COLUMNS, F.lit(1).alias("run"))
+    if state is not None:
+        old = state.select("vin", F.col("sum_real_difference").try_cast(EXACT_SUM).alias("sum_real_difference"),
+                           "electric_quantity",
+                           F.col("sum_run_mileage").try_cast(EXACT_SUM).alias("sum_run_mileage"),
+                           F.lit(0).alias("run"))
+        runs = old.unionByName(runs)
+    total = lambda c: F.sum(c).cast("double").alias(c)
+    return runs.groupBy("vin").agg(
+        total("sum_real_difference"), F.max_by("electric_quantity", "run").alias("electric_quantity"),
+        total("sum_run_mileage"))
+
+
+# Exchange format of a saved state: fixed values (key prefix and field names)
+STATE_KEY = "battery:avgElectricQuantity100km:"
+_JSON_FIELDS = {"electricQuantity": "electric_quantity",
+                "sumRealDifference": "sum_real_difference",
+                "sumRunMileage": "sum_run_mileage", "vin": "vin"}
+_JSON_DDL = ("electricQuantity DOUBLE, sumRealDifference DOUBLE, "
+             "sumRunMileage DOUBLE, vin STRING")
+
+
+def state_to_json(state: DataFrame) -> DataFrame:
+    """State as (state_key, state_json) for export to a key-value store."""
+    body = F.struct(*[F.col(c).alias(name) for name, c in _JSON_FIELDS.items()])
+    return state.select(F.concat(F.lit(STATE_KEY), "vin").alias("state_key"),
+                        F.to_json(body).alias("state_json"))
+
+
+def state_from_json(exported: DataFrame) -> DataFrame:
+    """State table from exported JSON; text that cannot be read gives no row."""
+    parsed = exported.select(F.from_json("state_json", _JSON_DDL).alias("s"))
+    return (parsed.select(*[F.col(f"s.{name}").alias(c) for name, c in _JSON_FIELDS.items()])
+            .where(F.col("vin").isNotNull()).select(STATE_COLUMNS))

@@ -1,0 +1,31 @@
+"""Incremental runs: where each vehicle stopped, and which sessions are still to do."""
+
+from pyspark.sql import DataFrame, functions as F
+
+
+def watermark(output: DataFrame) -> DataFrame:
+    """Latest stored `start_time` per vehicle: the start of its last paired session."""
+    return output.groupBy("vin").agg(F.max("start_time").alias("max_date"))
+
+
+def sessions_since(sessions: DataFrame, marks: DataFrame, floor=None) -> DataFrame:
+    """Sessions at or after their vehicle's watermark; all of a vehicle without one.
+
+    The session at the watermark is read again, as the front of the next pair. `floor` may
+    name a time below which nothing is needed (every vehicle has a watermark at or above
+    it); as a literal it prunes files and row groups.
+    """
+    if floor is not None:
+        sessions = sessions.where(F.col("start_time") >= F.lit(floor))
+    joined = sessions.join(marks.select("vin", "max_date"), "vin", "left")
+    wanted = F.col("max_date").isNull() | (F.col("start_time") >= F.col("max_date"))
+    return joined.where(wanted).select(sessions.columns)
+
+
+def fleet_only(sessions: DataFrame, vehicles: DataFrame) -> DataFrame:
+    """Sessions of known vehicles; a vehicle listed twice does not double its sessions."""
+    return sessions.join(vehicles.select("vin"), "vin", "left_semi").select(sessions.columns)
+
+
+def distinct_vehicles(vehicles: DataFrame) -> DataFrame:
+    return vehicles.select("vin").distinct()

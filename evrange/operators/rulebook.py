@@ -1,0 +1,76 @@
+"""Calibration rules ready for the fact side: mileage bands and formulas per rule."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..functions.bands import last_match
+from ..functions.formula import rule_value
+from ..functions.scalars import NOT_COMPUTED
+from .battery import default_rule_details, details_by_parent
+
+MAX_LOCAL_DETAILS = 10_000  # rule details held on the driver and broadcast
+SALTS = 64
+
+
+@dataclass(frozen=True)
+class Rulebook:
+    """`rules`: rule_id, details, broken. `texts`: the distinct formulas, if few enough."""
+
+    rules: DataFrame
+    texts: list = None
+
+    @property
+    def small(self) -> bool:
+        return self.texts is not None
+
+    def attach(self, pairs: DataFrame, rule_id: Column, spread_by: Column) -> DataFrame:
+        """Left-join the details of each row's rule.
+
+        A checked small book is broadcast. A larger one is joined by shuffle with the rows
+        of each rule spread over SALTS tasks, since one rule may serve most rows.
+        """
+        if self.small:
+            return (pairs.withColumn("__rule", rule_id)
+                    .join(F.broadcast(self.rules.withColumnRenamed("rule_id", "__rule")),
+                          "__rule", "left").drop("__rule"))
+        copies = (self.rules.withColumnRenamed("rule_id", "__rule")
+                  .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+        salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+        return (pairs.withColumn("__rule", rule_id).withColumn("__salt", salt)
+                .join(copies, ["__rule", "__salt"], "left").drop("__rule", "__salt"))
+
+    def value(self, rule: Column, soc: Column) -> Column:
+        """Formula value, or the -1.0 marker where there is none."""
+        return F.coalesce(rule_value(rule, soc, self.texts), F.lit(NOT_COMPUTED))
+
+
+def load(soc_rule: DataFrame, soc_rule_detail: DataFrame,
+         max_local: int = MAX_LOCAL_DETAILS) -> Rulebook:
+    """Read the default rules with their details; at most `max_local` + 1 rows reach the driver."""
+    rows = (default_rule_details(soc_rule, soc_rule_detail).where(F.col("detail_id").isNotNull())
+            .select(F.col("rule_id").alias("parent_id"), F.col("detail_id").alias("id"),
+                    "interval_mileage", "soc_rule"))
+    found = rows.limit(max_local + 1).toArrow()
+    texts = None
+    if found.num_rows <= max_local:
+        texts = sorted({t for t in found.column("soc_rule").to_pylist() if t is not None})
+        rows = rows.sparkSession.createDataFrame(found, rows.schema)
+    # `broken`: a detail without any interval text, which stops the run when it is probed
+    rules = (details_by_parent(rows)
+             .select(F.col("parent_id").alias("rule_id"),
+                     F.exists("details", lambda d: d["band"]["usable"].isNull()).alias("broken"),
+                     F.transform(F.filter("details", lambda d: d["band"]["usable"]),
+                                 lambda d: F.struct(d["id"].alias("id"),
+                                                    d["soc_rule"].alias("soc_rule"),
+                                                    d["band"]["low_symbol"].alias("low_symbol"),
+                                                    d["band"]["low"].alias("low"),
+                                                    d["band"]["high_symbol"].alias("high_symbol"),
+                                                    d["band"]["high"].alias("high"))
+                                 ).alias("details")))
+    return Rulebook(rules, texts)
+
+
+def matching_detail(mileage: Column) -> Column:
+    """The last detail of column `details` whose band holds the mileage, or null."""
+    return last_match(F.col("details"), mileage)

@@ -1,0 +1,140 @@
+"""Ordered work per key when one key may hold a large share of all rows.
+
+Windows over `partitionBy(key)` put every row of a key in one task. Here a key with too
+many rows is cut into *slices*: contiguous ranges of its sort order, each small enough
+for a task. Operators then work per (key, slice) and carry what crosses a cut through a
+table with one row per slice. Where the cuts fall never changes a result, only the
+balance, so they may come from a sample.
+
+Every driver-side or broadcast object is bounded: at most 1/support candidate keys, and
+at most about MAX_SLICES cuts in total, whatever the size of the data.
+"""
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+SLICE_ROWS = 2_000_000     # rows one task may get from one key
+MAX_SLICES = 20_000        # cuts over all hot keys; beyond it slices grow instead
+SAMPLES_PER_SLICE = 20
+MAX_CANDIDATES = 10_000    # smallest support Spark's frequent-item sketch accepts is 1e-4
+
+SLICE = "__slice"
+_CUTS = "__cuts"
+
+
+def _rank(cuts: Column, steps: int, below) -> Column:
+    """How many leading elements of the sorted array satisfy `below` (binary search)."""
+    def halve(acc, _):
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        return (F.when(acc["lo"] >= acc["hi"], acc)
+                .when(below(F.get(cuts, mid)),
+                      F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+                .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve, lambda acc: acc["lo"])
+
+
+@dataclass(frozen=True)
+class Slices:
+    """Cuts of the hot keys. `cuts` has one row per hot key; None means no key is hot."""
+
+    key: str
+    order: tuple
+    cuts: DataFrame = None
+    steps: int = 0
+
+    @property
+    def hot(self) -> bool:
+        return self.cuts is not None
+
+    @property
+    def keys(self) -> list:
+        """Partitioning columns of the tagged rows."""
+        return [self.key, SLICE] if self.hot else [self.key]
+
+    def only_hot(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.cuts.select(self.key)), self.key, "left_semi")
+
+    def without_hot(self, df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(self.cuts.select(self.key)), self.key, "left_anti")
+
+    def tag(self, df: DataFrame) -> DataFrame:
+        """Add the slice number of each row (0 for keys that are not cut)."""
+        if not self.hot:
+            return df
+        probe = F.struct(*[F.col(c) for c in self.order])
+        number = _rank(F.col(_CUTS), self.steps, lambda cut: cut <= probe)
+        return (df.join(F.broadcast(self.cuts), self.key, "left")
+                .withColumn(SLICE, F.when(F.col(_CUTS).isNull(), 0).otherwise(number))
+                .drop(_CUTS))
+
+    def tag_spans(self, df: DataFrame, low: str, high: str) -> DataFrame:
+        """Repeat each range row for every slice whose rows may fall into [low, high].
+
+        `low` and `high` are on the scale of the first order column. Ranges of one key
+        that do not overlap each other give at most (ranges + cuts) rows.
+        """
+        if not self.hot:
+            return df
+        first = self.order[0]
+        from_slice = _rank(F.col(_CUTS), self.steps, lambda cut: cut[first] < F.col(low))
+        to_slice = _rank(F.col(_CUTS), self.steps, lambda cut: cut[first] <= F.col(high))
+        spans = F.when(F.col(_CUTS).isNull(), F.array(F.lit(0))).otherwise(
+            F.sequence(from_slice, to_slice))
+        return (df.join(F.broadcast(self.cuts), self.key, "left")
+                .withColumn(SLICE, F.explode(spans)).drop(_CUTS))
+
+
+def hot_keys(df: DataFrame, key: str, limit: int, size_of: DataFrame = None) -> DataFrame:
+    """Keys with more than `limit` rows and their counts, as a small local table, or None.
+
+    `size_of` may name a cheaper table that has at least as many rows as `df`.
+
+    A frequent-item sketch (no shuffle of the keys) proposes at most MAX_CANDIDATES keys,
+    which are then counted exactly. A key below the sketch's support holds less than an
+    average shuffle task does, so leaving it whole does no harm.
+    """
+    spark = df.sparkSession
+    total = (df if size_of is None else size_of).count()
+    if total <= limit:
+        return None
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    support = 1.0 / min(MAX_CANDIDATES, max(100, 2 * tasks, total // limit + 1))
+    keys = df.select(key).where(F.col(key).isNotNull())
+    candidates = keys.stat.freqItems([key], support).select(
+        F.explode(f"{key}_freqItems").alias(key))
+    counted = (keys.join(F.broadcast(candidates), key).groupBy(key)
+               .agg(F.count("*").alias("rows")).where(F.col("rows") > limit))
+    found = counted.toArrow()
+    return spark.createDataFrame(found, counted.schema) if found.num_rows else None
+
+
+def find_slices(df: DataFrame, key: str, order, slice_rows: int = SLICE_ROWS,
+                size_of: DataFrame = None) -> Slices:
+    """Look for hot keys of `df` and cut their rows, sorted by `order`, into slices."""
+    order = tuple(order)
+    hot = hot_keys(df, key, slice_rows, size_of)
+    if hot is None:
+        return Slices(key, order)
+    spark = df.sparkSession
+    hot_total = hot.agg(F.sum("rows")).first()[0]
+    per_slice = max(slice_rows, -(-hot_total // MAX_SLICES))
+    fraction = min(1.0, SAMPLES_PER_SLICE / per_slice)
+    step = max(1, round(per_slice * fraction))
+
+    columns = [F.col(c) for c in order]
+    sample = df.join(F.broadcast(hot.select(key)), key, "left_semi").select(key, *columns)
+    if fraction < 1.0:
+        sample = sample.sample(fraction, seed=17)
+    by_order = Window.partitionBy(key).orderBy(*columns)
+    cuts = (sample.withColumn("__n", F.row_number().over(by_order))
+            .where(F.col("__n") % step == 0).drop("__n"))
+    local = spark.createDataFrame(cuts.toArrow(), cuts.schema)
+    per_key = local.groupBy(key).agg(
+        F.sort_array(F.collect_set(F.struct(*columns))).alias(_CUTS))
+    most = per_key.agg(F.max(F.size(_CUTS))).first()[0]
+    if not most:
+        return Slices(key, order)
+    return Slices(key, order, per_key, int(most).bit_length())
