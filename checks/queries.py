@@ -137,26 +137,26 @@ def session_pairs_day(t):
 
 
 def pair_metrics(t):
-    pairs = _pairs(t)
-    return pairs.select(metrics.pair_fields()[0], *metrics.distance_fields())
+    return metrics.with_distance(_pairs(t)).select(
+        metrics.pair_fields()[0], "run_mileage", "show_difference", "estimate_mileage")
 
 
 def _session_id():
     return F.col("id").alias("last_time_record_id")
 
 
-def _matched(t):
+def _matched(t, payload=job.METRIC_PAYLOAD, book=None):
     facts = job.on_time_axis(t.charging_sessions)
     slices = skew.find_slices(facts, "vin", pairing.SESSION_ORDER)
     history = t.battery_history
     parts = battery.battery_parts(
         battery.battery_dimension(history, t.battery_conf, t.soc_rule), size_of=history)
-    return job.matched_pairs(slices.tag(facts), parts, slices)
+    return job.matched_pairs(slices.tag(facts), parts, slices, payload=payload, book=book)
 
 
 def history_lookup(t):
     m = F.col("matched")
-    return _matched(t).select(
+    return _matched(t, battery.PART_PAYLOAD).select(
         _session_id(), "vin", m.isNotNull().alias("hit"), m["battery_type"].alias("battery_type"),
         m["electric_capacity"].alias("electric_capacity"),
         m["electric_quantity"].alias("electric_quantity"), m["rule_id"].alias("rule_id"))
@@ -169,16 +169,14 @@ def history_lookup_rear(t):
 
 def mileage_band_match(t):
     book = rules.load(t.soc_rule, t.soc_rule_detail)
-    rule_id = F.col("matched.rule_id")
-    detail = rules.matching_detail(F.col("mileage"))
-    return (book.attach(_matched(t), rule_id, F.col("id"))
-            .withColumn("detail", detail)
-            .select(_session_id(), rule_id.alias("rule_id"), F.col("detail.id").alias("detail_id"),
-                    F.col("detail.soc_rule").alias("soc_rule")))
+    return _matched(t, book=book).select(
+        _session_id(), F.col("matched.rule_id").alias("rule_id"), "detail_id",
+        F.col("detail_rule").alias("soc_rule"))
 
 
 def _measured(t):
-    return job.measured_pairs(_matched(t), rules.load(t.soc_rule, t.soc_rule_detail))
+    book = rules.load(t.soc_rule, t.soc_rule_detail)
+    return job.measured_pairs(_matched(t, book=book), book)
 
 
 def real_soc(t):
@@ -216,8 +214,8 @@ def rounding(t):
          .when(F.col("event_id") % 37 == 0, F.lit(1.005))
          .otherwise(F.col("value") / 3 - 4))
     rows = events.select("event_id", x.alias("x"))
-    return rows.select("event_id", fixed(F.col("x"), 2).alias("x2"),
-                       fixed(F.col("x"), 4).alias("x4"), fixed(F.col("x"), 6).alias("x6"))
+    return rows.select("event_id", fixed("x", 2).alias("x2"), fixed("x", 4).alias("x4"),
+                       fixed("x", 6).alias("x6"))
 
 
 # averages and state ------------------------------------------------------------------

@@ -5,6 +5,8 @@ does not split into four parts, has an unknown symbol, or a bound that is not a
 number next to a symbol, is unusable and never matches.
 """
 
+import operator
+
 from pyspark.sql import Column, functions as F
 
 SYMBOLS = (">", ">=", "<", "<=")  # fixed values
@@ -53,3 +55,17 @@ def band_contains(band: Column, x: Column) -> Column:
 def last_match(bands: Column, x: Column) -> Column:
     """The last band of the array that holds `x`, or null."""
     return F.try_element_at(F.filter(bands, lambda b: band_contains(b, x)), F.lit(-1))
+
+
+def contains(band: dict, x: Column) -> Column:
+    """As `band_contains` for a usable band whose symbols and bounds are Python values."""
+    holds = ~F.isnan(x)
+    if band["low_symbol"] == "" and band["high_symbol"] == "":
+        return F.lit(True)
+    for symbol, bound in ((band["low_symbol"], band["low"]), (band["high_symbol"], band["high"])):
+        if symbol != "":
+            holds = holds & _COMPARE[symbol](x, bound) if bound == bound else F.lit(False)
+    return holds
+
+
+_COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}

@@ -1,76 +1,121 @@
-"""Calibration rules ready for the fact side: mileage bands and formulas per rule."""
+"""Calibration rules on the fact side: which detail applies to a pair, and its formula.
+
+The rule tables are configuration. Up to MAX_COMPILED_DETAILS usable details they become
+plain CASE expressions, so the fact side needs no join and stays in generated code. Up to
+MAX_LOCAL_DETAILS they are broadcast as one array of bands per rule. Beyond that they
+are joined by shuffle, with the rows of each rule spread over SALTS tasks, since one rule
+may serve most rows.
+"""
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.bands import last_match
-from ..functions.formula import rule_value
+from ..functions.bands import contains, last_match, parse_band
+from ..functions.formula import parse, rule_value, to_column
 from ..functions.scalars import NOT_COMPUTED
 from .battery import default_rule_details, details_by_parent
 
-MAX_LOCAL_DETAILS = 10_000  # rule details held on the driver and broadcast
+MAX_COMPILED_DETAILS = 24  # more would exceed the size of a method the JVM compiles
+MAX_LOCAL_DETAILS = 10_000
 SALTS = 64
 
+_BAND = ("low_symbol", "low", "high_symbol", "high")
+
 
 @dataclass(frozen=True)
 class Rulebook:
-    """`rules`: rule_id, details, broken. `texts`: the distinct formulas, if few enough."""
+    """`rules`: rule_id, broken, details. `texts`: the distinct formulas if the book is local.
+
+    `details`: rows (rule_id, id, soc_rule, band...) if there are few enough to compile.
+    `broken` marks a rule with a detail that lacks its interval text.
+    """
 
     rules: DataFrame
     texts: list = None
+    details: list = None
+    broken: list = None
 
     @property
-    def small(self) -> bool:
-        return self.texts is not None
+    def any_broken(self) -> bool:
+        return self.broken is None or bool(self.broken)
 
-    def attach(self, pairs: DataFrame, rule_id: Column, spread_by: Column) -> DataFrame:
-        """Left-join the details of each row's rule.
+    def attach(self, pairs: DataFrame, rule_id: Column, mileage: Column,
+               spread_by: Column) -> DataFrame:
+        """Add `detail_id`, `detail_rule` and `rule_broken` for each row's rule and mileage.
 
-        A checked small book is broadcast. A larger one is joined by shuffle with the rows
-        of each rule spread over SALTS tasks, since one rule may serve most rows.
+        Bands of one rule may overlap; the detail with the highest id wins.
         """
-        if self.small:
-            return (pairs.withColumn("__rule", rule_id)
-                    .join(F.broadcast(self.rules.withColumnRenamed("rule_id", "__rule")),
-                          "__rule", "left").drop("__rule"))
-        copies = (self.rules.withColumnRenamed("rule_id", "__rule")
-                  .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-        salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-        return (pairs.withColumn("__rule", rule_id).withColumn("__salt", salt)
-                .join(copies, ["__rule", "__salt"], "left").drop("__rule", "__salt"))
+        if self.details is not None:
+            return pairs.select("*", *self._compiled(rule_id, mileage))
+        book = self.rules.withColumnRenamed("rule_id", "__rule")
+        pairs = pairs.withColumn("__rule", rule_id)
+        if self.texts is not None:
+            joined = pairs.join(F.broadcast(book), "__rule", "left")
+        else:
+            copies = book.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+            joined = (pairs.withColumn("__salt", salt)
+                      .join(copies, ["__rule", "__salt"], "left").drop("__salt"))
+        return (joined.withColumn("__detail", last_match(F.col("details"), mileage))
+                .select("*", F.col("__detail.id").alias("detail_id"),
+                        F.col("__detail.soc_rule").alias("detail_rule"),
+                        F.coalesce("broken", F.lit(False)).alias("rule_broken"))
+                .drop("__rule", "__detail", "details", "broken"))
+
+    def _compiled(self, rule_id, mileage):
+        """The search through bands and rules as CASE expressions, highest id first."""
+        held = [((rule_id == d["rule_id"]) & contains(d, mileage), d)
+                for d in sorted(self.details, key=lambda d: d["id"], reverse=True)]
+        return [_case([(c, F.lit(d["id"])) for c, d in held]).cast("int").alias("detail_id"),
+                _case([(c, F.lit(d["soc_rule"])) for c, d in held]).cast("string").alias("detail_rule"),
+                F.coalesce(rule_id.isin(self.broken), F.lit(False)).alias("rule_broken")]
 
-    def value(self, rule: Column, soc: Column) -> Column:
-        """Formula value, or the -1.0 marker where there is none."""
-        return F.coalesce(rule_value(rule, soc, self.texts), F.lit(NOT_COMPUTED))
+    def value(self, soc: Column) -> Column:
+        """Formula value of the attached detail, or the -1.0 marker where there is none."""
+        if self.details is None:
+            found = rule_value(F.col("detail_rule"), soc, self.texts)
+        else:
+            trees = {text: parse(text) for text in self.texts}
+            found = _case([
+                (F.col("detail_id").isin([d["id"] for d in self.details if d["soc_rule"] == text]),
+                 to_column(tree, soc.cast("double")))
+                for text, tree in trees.items() if tree is not None]).cast("double")
+        return F.coalesce(found, F.lit(NOT_COMPUTED))
+
+
+def _case(branches) -> Column:
+    """CASE WHEN over (condition, value) pairs; null when there are none."""
+    chain = F
+    for condition, value in branches:
+        chain = chain.when(condition, value)
+    return F.lit(None) if chain is F else chain
 
 
 def load(soc_rule: DataFrame, soc_rule_detail: DataFrame,
-         max_local: int = MAX_LOCAL_DETAILS) -> Rulebook:
+         max_local: int = MAX_LOCAL_DETAILS, max_compiled: int = MAX_COMPILED_DETAILS) -> Rulebook:
     """Read the default rules with their details; at most `max_local` + 1 rows reach the driver."""
     rows = (default_rule_details(soc_rule, soc_rule_detail).where(F.col("detail_id").isNotNull())
-            .select(F.col("rule_id").alias("parent_id"), F.col("detail_id").alias("id"),
-                    "interval_mileage", "soc_rule"))
+            .select("rule_id", F.col("detail_id").alias("id"), "interval_mileage", "soc_rule",
+                    parse_band(F.col("interval_mileage")).alias("band"))
+            .select("rule_id", "id", "interval_mileage", "soc_rule",
+                    F.col("band.usable").alias("usable"), *[f"band.{c}" for c in _BAND]))
     found = rows.limit(max_local + 1).toArrow()
-    texts = None
+    texts = details = broken = None
     if found.num_rows <= max_local:
-        texts = sorted({t for t in found.column("soc_rule").to_pylist() if t is not None})
+        local = found.to_pylist()
+        texts = sorted({d["soc_rule"] for d in local if d["soc_rule"] is not None})
+        usable = [d for d in local if d["usable"]]
+        if len(usable) <= max_compiled:
+            details = usable
+            broken = sorted({d["rule_id"] for d in local if d["usable"] is None})
+            return Rulebook(None, texts, details, broken)
         rows = rows.sparkSession.createDataFrame(found, rows.schema)
-    # `broken`: a detail without any interval text, which stops the run when it is probed
-    rules = (details_by_parent(rows)
+    rules = (details_by_parent(rows.withColumnRenamed("rule_id", "parent_id"))
              .select(F.col("parent_id").alias("rule_id"),
                      F.exists("details", lambda d: d["band"]["usable"].isNull()).alias("broken"),
                      F.transform(F.filter("details", lambda d: d["band"]["usable"]),
-                                 lambda d: F.struct(d["id"].alias("id"),
-                                                    d["soc_rule"].alias("soc_rule"),
-                                                    d["band"]["low_symbol"].alias("low_symbol"),
-                                                    d["band"]["low"].alias("low"),
-                                                    d["band"]["high_symbol"].alias("high_symbol"),
-                                                    d["band"]["high"].alias("high"))
-                                 ).alias("details")))
+                                 lambda d: F.struct(
+                                     d["id"].alias("id"), d["soc_rule"].alias("soc_rule"),
+                                     *[d["band"][c].alias(c) for c in _BAND])).alias("details")))
     return Rulebook(rules, texts)
-
-
-def matching_detail(mileage: Column) -> Column:
-    """The last detail of column `details` whose band holds the mileage, or null."""
-    return last_match(F.col("details"), mileage)

@@ -6,18 +6,18 @@ for a task. Operators then work per (key, slice) and carry what crosses a cut th
 table with one row per slice. Where the cuts fall never changes a result, only the
 balance, so they may come from a sample.
 
-Every driver-side or broadcast object is bounded: at most 1/support candidate keys, and
-at most about MAX_SLICES cuts in total, whatever the size of the data.
+Driver-side and broadcast objects are bounded by MAX_SLICES, whatever the size of the data:
+past SLICE_ROWS * MAX_SLICES rows the slices grow instead of multiplying.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SLICE_ROWS = 2_000_000     # rows one task may get from one key
-MAX_SLICES = 20_000        # cuts over all hot keys; beyond it slices grow instead
-SAMPLES_PER_SLICE = 20
-MAX_CANDIDATES = 10_000    # smallest support Spark's frequent-item sketch accepts is 1e-4
+SLICE_ROWS = 2_000_000    # rows one task may get from one key
+MAX_SLICES = 100_000      # cuts over all hot keys
+SAMPLES_PER_SLICE = 100
+SEED = 17
 
 SLICE = "__slice"
 _CUTS = "__cuts"
@@ -87,51 +87,48 @@ class Slices:
                 .withColumn(SLICE, F.explode(spans)).drop(_CUTS))
 
 
-def hot_keys(df: DataFrame, key: str, limit: int, size_of: DataFrame = None) -> DataFrame:
-    """Keys with more than `limit` rows and their counts, as a small local table, or None.
+def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """Keys with more than about `limit` rows, as a small local table, or None.
 
-    `size_of` may name a cheaper table that has at least as many rows as `df`.
-
-    A frequent-item sketch (no shuffle of the keys) proposes at most MAX_CANDIDATES keys,
-    which are then counted exactly. A key below the sketch's support holds less than an
-    average shuffle task does, so leaving it whole does no harm.
+    Counts a sample of the key column, so next to nothing is shuffled. A key just above
+    the limit may be missed; one well above it is not.
     """
-    spark = df.sparkSession
-    total = (df if size_of is None else size_of).count()
-    if total <= limit:
-        return None
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    support = 1.0 / min(MAX_CANDIDATES, max(100, 2 * tasks, total // limit + 1))
-    keys = df.select(key).where(F.col(key).isNotNull())
-    candidates = keys.stat.freqItems([key], support).select(
-        F.explode(f"{key}_freqItems").alias(key))
-    counted = (keys.join(F.broadcast(candidates), key).groupBy(key)
-               .agg(F.count("*").alias("rows")).where(F.col("rows") > limit))
+    fraction = min(1.0, SAMPLES_PER_SLICE / limit)
+    keys = df.select(key)
+    if fraction < 1.0:
+        keys = keys.sample(fraction, seed=SEED)
+    counted = (keys.groupBy(key).agg(F.count("*").alias("n"))
+               .where(F.col("n") > limit * fraction).select(key))
     found = counted.toArrow()
-    return spark.createDataFrame(found, counted.schema) if found.num_rows else None
+    return df.sparkSession.createDataFrame(found, counted.schema) if found.num_rows else None
 
 
 def find_slices(df: DataFrame, key: str, order, slice_rows: int = SLICE_ROWS,
                 size_of: DataFrame = None) -> Slices:
-    """Look for hot keys of `df` and cut their rows, sorted by `order`, into slices."""
+    """Look for hot keys of `df` and cut their rows, sorted by `order`, into slices.
+
+    `size_of` may name a table that is cheaper to count and at least as long as `df`.
+    """
     order = tuple(order)
-    hot = hot_keys(df, key, slice_rows, size_of)
+    total = (df if size_of is None else size_of).count()
+    if total <= slice_rows:
+        return Slices(key, order)
+    per_slice = max(slice_rows, -(-total // MAX_SLICES))
+    df = df.where(F.col(key).isNotNull())
+    hot = hot_keys(df, key, per_slice)
     if hot is None:
         return Slices(key, order)
-    spark = df.sparkSession
-    hot_total = hot.agg(F.sum("rows")).first()[0]
-    per_slice = max(slice_rows, -(-hot_total // MAX_SLICES))
+
     fraction = min(1.0, SAMPLES_PER_SLICE / per_slice)
     step = max(1, round(per_slice * fraction))
-
     columns = [F.col(c) for c in order]
-    sample = df.join(F.broadcast(hot.select(key)), key, "left_semi").select(key, *columns)
+    sample = df.join(F.broadcast(hot), key, "left_semi").select(key, *columns)
     if fraction < 1.0:
-        sample = sample.sample(fraction, seed=17)
+        sample = sample.sample(fraction, seed=SEED)
     by_order = Window.partitionBy(key).orderBy(*columns)
     cuts = (sample.withColumn("__n", F.row_number().over(by_order))
             .where(F.col("__n") % step == 0).drop("__n"))
-    local = spark.createDataFrame(cuts.toArrow(), cuts.schema)
+    local = df.sparkSession.createDataFrame(cuts.toArrow(), cuts.schema)
     per_key = local.groupBy(key).agg(
         F.sort_array(F.collect_set(F.struct(*columns))).alias(_CUTS))
     most = per_key.agg(F.max(F.size(_CUTS))).first()[0]
