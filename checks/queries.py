@@ -146,12 +146,12 @@ def _session_id():
 
 
 def _matched(t, payload=job.METRIC_PAYLOAD, book=None):
-    facts = job.on_time_axis(t.charging_sessions)
-    slices = skew.find_slices(facts, "vin", pairing.SESSION_ORDER)
+    facts, slices = skew.spread(job.on_time_axis(t.charging_sessions), "vin", pairing.SESSION_ORDER)
+    heads = slices.heads(facts) if slices.hot else None
     history = t.battery_history
     parts = battery.battery_parts(
         battery.battery_dimension(history, t.battery_conf, t.soc_rule), size_of=history)
-    return job.matched_pairs(slices.tag(facts), parts, slices, payload=payload, book=book)
+    return job.matched_pairs(facts, parts, slices, payload=payload, book=book, heads=heads)
 
 
 def history_lookup(t):

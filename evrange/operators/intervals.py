@@ -68,16 +68,15 @@ def merge_by_time(facts: DataFrame, parts: DataFrame, slices: Slices, payload) -
 
 
 def match_rows(rows: DataFrame, parts: DataFrame, slices: Slices, payload) -> DataFrame:
-    """As `merge_by_time` for a bounded set of tagged rows, about one per (key, slice).
+    """As `merge_by_time` for the few tagged rows at the cuts, one at most per (key, slice).
 
     The rows are broadcast and the parts streamed past them, so a key with many parts is
     never gathered anywhere.
     """
     content = F.struct(F.col("__high"), *[F.col(c) for c in payload]).alias("matched")
-    marks = slices.tag_spans(parts, "__low", "__high").select(
+    marks = slices.tag_spans(slices.only_hot(parts), "__low", "__high").select(
         *slices.keys, F.col("__low"), F.col("__high").alias("__until"), content)
-    instants = rows.select(*slices.keys, "__at").distinct()
-    hits = (marks.join(F.broadcast(instants), slices.keys)
+    hits = (marks.join(F.broadcast(rows.select(*slices.keys, "__at")), slices.keys)
             .where((F.col("__low") <= F.col("__at")) & (F.col("__at") <= F.col("__until")))
-            .select(*slices.keys, "__at", "matched"))
-    return rows.join(F.broadcast(hits), [*slices.keys, "__at"], "left")
+            .select(*slices.keys, "matched"))
+    return rows.join(F.broadcast(hits), slices.keys, "left")

@@ -11,8 +11,8 @@ from ..operators.battery import battery_dimension, battery_parts
 from ..operators.intervals import match_rows, merge_by_time
 from ..operators.metrics import (REAR_COLUMNS, good_sessions, pair_fields, refuse,
                                  refuse_bad_pairs, with_distance, with_energy)
-from ..operators.pairing import SESSION_ORDER, next_heads, slice_heads, with_successor
-from ..operators.skew import SLICE, SLICE_ROWS, Slices, find_slices
+from ..operators.pairing import SESSION_ORDER, across_cuts, with_successor
+from ..operators.skew import SLICE, SLICE_ROWS, Slices, expand_copies, spread
 from ..schemas import PAIR_COLUMNS, SESSION
 
 SESSION_COLUMNS = SESSION.fieldNames()
@@ -38,19 +38,19 @@ def on_time_axis(sessions: DataFrame, extra=()) -> DataFrame:
 METRIC_PAYLOAD = ("electric_quantity", "rule_id")
 
 
-def matched_pairs(tagged: DataFrame, parts: DataFrame, slices: Slices, within=(),
-                  payload=METRIC_PAYLOAD, book: rules.Rulebook = None) -> DataFrame:
+def matched_pairs(facts: DataFrame, parts: DataFrame, slices: Slices, within=(),
+                  payload=METRIC_PAYLOAD, book: rules.Rulebook = None,
+                  heads: DataFrame = None) -> DataFrame:
     """Adjacent sessions; `matched` is the battery at the front's start, `rear` the next session.
 
     `rear.quantity` is the rated quantity of the battery at the rear's own start time.
     With a rulebook the front's calibration is added: its detail and `real_start_soc`.
+    `heads` are the rows at the cuts of `slices`, if any key is hot.
     """
     value = F.struct(*REAR_COLUMNS, F.col("matched.electric_quantity").alias("quantity"))
-    heads = None
     if slices.hot:
-        first = slice_heads(slices.only_hot(tagged), slices, within)
-        heads = next_heads(match_rows(first, parts, slices, payload), slices, value, within)
-    rows = merge_by_time(tagged, parts, slices, payload)
+        heads = across_cuts(match_rows(heads, parts, slices, payload), slices, value, within)
+    rows = merge_by_time(slices.tag(facts), parts, slices, payload)
     if book is not None:
         # here rather than after the pairing, which keeps both generated methods small
         rows = book.attach(rows, F.col("matched.rule_id"), F.col("mileage"), F.col("id"))
@@ -88,18 +88,20 @@ def scored_pairs(sessions: DataFrame, tables: Tables, day: str = None, state: Da
     if on_bad_row == "quarantine":
         sessions = good_sessions(sessions)
     facts = on_time_axis(sessions, within)
-    slices = find_slices(facts, "vin", SESSION_ORDER, slice_rows)
+    facts, slices = spread(facts, "vin", SESSION_ORDER, slice_rows)
+    heads = slices.heads(facts) if slices.hot else None
     dimension = battery_dimension(tables.history, tables.conf, tables.soc_rule, day, conf_fallback)
     parts = battery_parts(dimension, slice_rows, size_of=tables.history)
     book = rules.load(tables.soc_rule, tables.soc_rule_detail)
 
     def measure(rows):
-        pairs = matched_pairs(slices.tag(rows), parts, slices, within, book=book)
+        pairs = matched_pairs(rows, parts, slices, within, book=book, heads=heads)
         return measured_pairs(pairs, book, on_bad_row)
 
     # a hot vehicle's slices inherit sums, for which its pairs are measured once more
     hot_pairs = measure(slices.only_hot(facts)) if slices.hot else None
-    return with_average(measure(facts), slices, SESSION_ORDER, state, mode, hot_pairs).drop(SLICE)
+    scored = with_average(measure(facts), slices, slices.order, state, mode, hot_pairs)
+    return expand_copies(scored, "vin").drop(SLICE)
 
 
 def result_columns(scored: DataFrame) -> DataFrame:
