@@ -13,9 +13,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-# Beyond this many distinct texts a CASE chain makes the generated code too large to
-# compile well, and the Arrow path evaluates the same parse trees instead.
-MAX_COMPILED = 64
+# Beyond this many distinct texts a CASE chain makes a generated method larger than the JVM
+# compiles, and the Arrow path evaluates the same parse trees instead.
+MAX_COMPILED = 12
 
 _ALLOWED = re.compile(r"[0-9eE.+\-*/()\s]*")
 _OPERATORS = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/"}

@@ -16,7 +16,7 @@ from ..functions.formula import parse, rule_value, to_column
 from ..functions.scalars import NOT_COMPUTED
 from .battery import default_rule_details, details_by_parent
 
-MAX_COMPILED_DETAILS = 24  # more would exceed the size of a method the JVM compiles
+MAX_COMPILED_DETAILS = 12  # more would exceed the size of a method the JVM compiles
 MAX_LOCAL_DETAILS = 10_000
 SALTS = 64
 

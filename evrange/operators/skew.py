@@ -171,12 +171,12 @@ def collapse_copies(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
             .drop("__n", "__parts"))
 
 
-def expand_copies(df: DataFrame, key: str) -> DataFrame:
+def expand_copies(df: DataFrame, order) -> DataFrame:
     """Write out each row `__times` times, after spreading the counted rows over the tasks."""
     if "__times" not in df.columns:
         return df
-    # at most SLICE_ROWS copies come from one row; the counted rows themselves are few
-    return (df.repartition(key, COPY, "__at", "id")
+    # about SLICE_ROWS copies at most come from one row, and the counted rows are few
+    return (df.repartition(*order, COPY)
             .withColumn("__nth_copy", F.explode(F.expr("sequence(1L, __times)")))
             .drop("__nth_copy", "__times", COPY, COPIES))
 

@@ -101,7 +101,7 @@ def scored_pairs(sessions: DataFrame, tables: Tables, day: str = None, state: Da
     # a hot vehicle's slices inherit sums, for which its pairs are measured once more
     hot_pairs = measure(slices.only_hot(facts)) if slices.hot else None
     scored = with_average(measure(facts), slices, slices.order, state, mode, hot_pairs)
-    return expand_copies(scored, "vin").drop(SLICE)
+    return expand_copies(scored, SESSION_ORDER).drop(SLICE)
 
 
 def result_columns(scored: DataFrame) -> DataFrame:

@@ -1,0 +1,23 @@
+"""Intermediate results written once to the cluster's shared folder."""
+
+import uuid
+
+from pyspark.sql import DataFrame
+
+
+def shared_folder(spark) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return folder.rstrip("/")
+
+
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` as a table and read it back, so that several consumers compute it once.
+
+    Unlike cached blocks the files outlive any executor.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

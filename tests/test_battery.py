@@ -1,0 +1,100 @@
+"""The battery dimension and the rulebook's three forms."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from evrange import schemas
+from evrange.operators import battery, rulebook
+from evrange.operators.rulebook import load
+
+from helpers import at, tables
+
+D = datetime
+
+
+def test_day_overlap_equals_the_three_cases(spark):
+    moments = [None, D(2024, 1, 1), D(2024, 1, 1, 23, 59, 59), D(2024, 1, 2), D(2024, 1, 2, 12),
+               D(2024, 1, 2, 23, 59, 59), D(2024, 1, 2, 23, 59, 59, 500000), D(2024, 1, 3)]
+    data = [(f"{i}-{j}", "T", "B", s, e) for i, s in enumerate(moments) for j, e in enumerate(moments)]
+    first, last = D(2024, 1, 2), D(2024, 1, 2, 23, 59, 59)
+
+    def expected(s, e):
+        if s is None or (e is not None and s > e):
+            return False
+        return (first <= s <= last or (e is not None and first <= e <= last)
+                or (s < first and (e is None or e > last)))
+
+    history = spark.createDataFrame(data, schemas.BATTERY_HISTORY)
+    got = {r.vin for r in battery.history_on_day(history, "2024-01-02").collect()}
+    assert got == {v for v, _, _, s, e in data if expected(s, e)}
+
+
+def test_null_parts_of_the_type_key_can_match(spark):
+    history = spark.createDataFrame(
+        [("v1", None, "X", at(0), None), ("v2", "X", None, at(0), None), ("v3", None, None, at(0), None)],
+        schemas.BATTERY_HISTORY)
+    conf = spark.createDataFrame([("c", "X", None, 1.0, 2.0, "0", "0"), ("d", "X", None, 1.0, 3.0, "0", "1")],
+                                 schemas.BATTERY_CONF)
+    assert sorted(r.vin for r in battery.with_conf(history, conf).collect()) == ["v1", "v2"]
+
+
+def test_several_configurations_the_first_id_wins(spark):
+    conf = [("c2", "B", "T", 1.0, 70.0, "0", "0"), ("c1", "B", "T", 1.0, 60.0, "0", "0")]
+    t = tables(spark, conf=conf)
+    dimension = battery.battery_dimension(t.history, t.conf, t.soc_rule)
+    assert dimension.count() == 2
+    parts = battery.battery_parts(dimension).collect()
+    assert [p.electric_quantity for p in parts] == [60.0]
+
+
+def test_null_battery_type_of_a_rule_is_the_text_null(spark):
+    rules = spark.createDataFrame([(1, "s", "h", None, "BMS", "1", "0"), (2, "s", "h", "B", "BMS", "1", "0"),
+                                   (3, None, "h", "B", "BMS", "1", "0"), (4, "s", "h", "B", "VCU", "1", "0")],
+                                  schemas.SOC_RULE)
+    got = {(r.battery_type, r.rule_id, r.software_version) for r in battery.default_rules(rules).collect()}
+    assert got == {("null", 1, "s"), ("B", 3, "null")}
+
+
+def test_missing_configuration_takes_the_vehicle_default(spark):
+    history = [("v", "T", "other", at(0), None)]
+    conf = [("c1", "B", "T", 150.0, 60.0, "1", "0"), ("c2", "C", "T", 170.0, 80.0, "1", "0")]
+    t = tables(spark, history, conf)
+    assert battery.battery_dimension(t.history, t.conf, t.soc_rule).count() == 0
+    row = battery.battery_dimension(t.history, t.conf, t.soc_rule, conf_fallback=True).first()
+    assert (row.config_id, row.electric_capacity, row.electric_quantity) == (None, 170.0, 80.0)
+
+
+@pytest.mark.parametrize("limits, form", [
+    ({}, "compiled"), ({"max_compiled": 0}, "broadcast"), ({"max_local": 1}, "shuffled")])
+def test_rulebook_forms_agree(spark, limits, form):
+    details = [(i, band, text, 1 + i % 2, "0") for i, (band, text) in enumerate([
+        (">=,0,<,50", "soc*2"), (">=,0,<,50", "soc+1"), (">=,20,<,80", "soc/4"), (">=,20,<,80", "soc*"),
+        (">=,0,<", "soc"), (",,,", "soc-1"), (">,90,,", "soc/(soc-10)"), (">,NaN,,", "soc")])]
+    rules = [(1, "s", "h", "B", "BMS", "1", "0"), (2, "s", "h", "C", "BMS", "1", "0")]
+    t = tables(spark, rules=rules, details=details)
+    book = load(t.soc_rule, t.soc_rule_detail, **limits)
+    assert {"compiled": book.details is not None, "broadcast": book.details is None and book.texts is not None,
+            "shuffled": book.texts is None}[form]
+    pairs = spark.range(0, 100, 5).selectExpr(
+        "cast(id AS string) AS id", "cast(id AS double) AS m", "explode(array(1, 2, 3, null)) AS rule", "10 AS soc")
+    got = (book.attach(pairs, F.col("rule"), F.col("m"), F.col("id"))
+           .select("id", "rule", "detail_id", "detail_rule", book.value(F.col("soc")).alias("v")))
+
+    def expected(m, rule):
+        held = {1: [(0, 0 <= m < 50, 20.0), (2, 20 <= m < 80, 2.5), (6, m > 90, -1.0)],
+                2: [(1, 0 <= m < 50, 11.0), (3, 20 <= m < 80, -1.0), (5, True, 9.0)]}.get(rule, [])
+        hits = [(i, v) for i, ok, v in held if ok]
+        return hits[-1] if hits else (None, -1.0)
+
+    for r in got.collect():
+        assert (r.detail_id, r.v) == expected(float(r.id), r.rule)
+        assert r.detail_rule == (None if r.detail_id is None else details[r.detail_id][2])
+
+
+def test_parents_keep_details_in_id_order(spark):
+    data = [(3, ",,,", "c", 1, "0"), (1, ",,,", "a", 1, "0"), (2, "x", "b", 1, "1"), (9, ",,,", "z", 2, "0")]
+    details = battery.active_details(spark.createDataFrame(data, schemas.SOC_RULE_DETAIL))
+    got = {r.parent_id: [d.id for d in r.details] for r in battery.details_by_parent(details).collect()}
+    assert got == {1: [1, 3], 2: [9]}

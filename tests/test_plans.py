@@ -1,0 +1,62 @@
+"""The physical plans that the design promises."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import QUERIES, Inputs
+from evrange.operators.rulebook import MAX_COMPILED_DETAILS
+from evrange.plans.job import endurance_pairs
+from evrange.sources.tables import scan_partition
+
+from helpers import WORKED, sessions, tables
+
+SF = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+
+
+def _plan(df, mode="simple"):
+    spark = df.sparkSession
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+@needs_data
+@pytest.mark.parametrize("query", ["endurance_pairs", "endurance_pairs_cumulative"])
+def test_one_exchange_and_one_sort_of_the_sessions(spark, query):
+    plan = _plan(QUERIES[query](Inputs(spark, SF)))
+    # everything above the union of sessions and battery parts is the fact side
+    above = plan[:plan.index("Union")]
+    assert above.count("Exchange hashpartitioning(vin") == 1
+    assert len(re.findall(r"\+- Sort|\*\(\d+\) Sort", above)) == 1
+    assert above.count("Window [") == 3
+    assert "Join" not in above and "Python" not in plan and "CartesianProduct" not in plan
+
+
+@needs_data
+def test_scan_reads_only_what_is_used(spark):
+    plan = _plan(QUERIES["pair_metrics"](Inputs(spark, SF)))
+    scan = re.search(r"ReadSchema: (\S+)", plan).group(1)
+    assert scan == "struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint>"
+    assert "PushedFilters: [IsNotNull(user_id)]" in plan
+
+
+def test_one_day_lists_one_directory(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    (sessions(spark, WORKED).withColumn("sample_date", F.to_date("start_time"))
+     .write.partitionBy("sample_date").parquet(path))
+    plan = _plan(scan_partition(spark.read.parquet(path), "2024-01-01"))
+    assert re.search(r"PartitionFilters: \[isnotnull\(sample_date\S+\), \(sample_date\S+ = 2024-01-01\)\]", plan)
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    details = [(i, f">=,{i},<,{i + 1}", f"soc*0.{i + 10}+{i}", 1, "0") for i in range(MAX_COMPILED_DETAILS)]
+    out = endurance_pairs(sessions(spark, WORKED), tables(spark, details=details))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        code = _plan(endurance_pairs(sessions(spark, WORKED), tables(spark, details=details)), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert out.count() == 4
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000

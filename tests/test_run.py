@@ -1,0 +1,98 @@
+"""Scheduled runs: gate, increments, reruns, state."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from evrange.operators import average, gates, incremental
+from evrange.plans.job import endurance_pairs
+from evrange.plans.run import latest_snapshot, run_daily
+from evrange.schemas import AVG_STATE, TASK_INFO, VEHICLE
+
+from helpers import WORKED, at, rows, session, sessions, tables
+
+
+def _two_days(spark):
+    """Drives of three vehicles over 1 and 2 January."""
+    data = []
+    for v in range(3):
+        for i in range(8):
+            data.append(session(f"{v}-{i}", i * 5.5 + v, 10 + 5 * i % 30, 60 + 7 * i % 35,
+                                100.0 * v + 13.7 * i * i, f"v{v}"))
+    data.append(session("late-0", 30, vin="late", mileage=1.0))
+    data.append(session("late-1", 40, vin="late", mileage=9.0))
+    battery = tables(spark, history=[(v, "T", "B", datetime(2023, 1, 1), None)
+                                     for v in ("v0", "v1", "v2", "late")])
+    return sessions(spark, data), battery
+
+
+def _result(df):
+    return sorted(tuple(r) for r in df.select(
+        "id", "this_time_record_id", "run_mileage", "avg_electric_quantity_100km").collect())
+
+
+@pytest.mark.parametrize("mode", ["seed", "cumulative"])
+def test_two_runs_equal_one(spark, tmp_path, mode):
+    data, battery = _two_days(spark)
+    none = spark.createDataFrame([], TASK_INFO)
+    output, snapshots = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run(sessions, date):
+        return run_daily(sessions, battery, none, date, output, snapshots, mode=mode,
+                         force=True, all_periods=True)
+
+    first = run(data.where(F.col("start_time") < F.lit("2024-01-02")), "2024-01-02")
+    second = run(data, "2024-01-03")
+    whole = endurance_pairs(data, battery, mode=mode)
+    stored = spark.read.parquet(output)
+    assert first + second == whole.count() == stored.count()
+    assert _result(stored) == _result(whole)
+
+    assert run(data, "2024-01-03") == second  # a repeated run computes the same and adds nothing
+    again = spark.read.parquet(output)
+    assert _result(again) == _result(whole)
+    _, saved_mode, state = latest_snapshot(spark, snapshots, "2024-01-04")
+    assert saved_mode == mode and state.count() == 4
+    with pytest.raises(ValueError, match="cannot resume"):
+        run_daily(data, battery, none, "2024-01-04", output, snapshots, force=True, all_periods=True,
+                  mode="seed" if mode == "cumulative" else "cumulative")
+
+
+def test_run_waits_for_the_day_before(spark, tmp_path):
+    tasks = spark.createDataFrame([("20240101", 4, 0), ("20240101", 1, 1), ("20231231", 4, 1)], TASK_INFO)
+    assert not gates.ready(tasks, "2024-01-02") and gates.ready(tasks, "2024-01-01")
+    assert gates.ready(tasks, "2024-01-02", force=True)
+    data = sessions(spark, WORKED)
+    out = (str(tmp_path / "out"), str(tmp_path / "state"))
+    assert run_daily(data, tables(spark), tasks, "2024-01-02", *out) is None
+    no_battery = tables(spark, history=[("v", "T", "B", None, None)])
+    assert run_daily(data, no_battery, tasks, "2024-01-02", *out, force=True) is None
+
+
+def test_watermark_reads_the_last_session_again(spark):
+    data = sessions(spark, WORKED)
+    out = endurance_pairs(data, tables(spark))
+    marks = incremental.watermark(out)
+    assert [tuple(r) for r in marks.collect()] == [("v", at(4))]
+    assert [r.id for r in incremental.sessions_since(data, marks).collect()] == ["s5"]
+    assert incremental.sessions_since(data, marks, floor=at(4)).count() == 1
+    assert incremental.sessions_since(data, marks.where("false")).count() == 5
+
+
+def test_fleet_with_a_vehicle_listed_twice(spark):
+    fleet = spark.createDataFrame([("v",), ("v",), ("w",)], VEHICLE)
+    data = sessions(spark, WORKED + [session("x", 0, vin="unknown")])
+    assert incremental.fleet_only(data, fleet).count() == 5
+    assert incremental.distinct_vehicles(fleet).count() == 2
+
+
+def test_state_as_json(spark):
+    state = spark.createDataFrame([("v", 47.5, 60.0, 200.5)], AVG_STATE)
+    exported = average.state_to_json(state)
+    assert tuple(exported.first()) == (
+        "battery:avgElectricQuantity100km:v",
+        '{"electricQuantity":60.0,"sumRealDifference":47.5,"sumRunMileage":200.5,"vin":"v"}')
+    assert average.state_from_json(exported).collect() == state.collect()
+    broken = exported.withColumn("state_json", F.lit("{"))
+    assert average.state_from_json(broken).count() == 0

@@ -1,0 +1,89 @@
+"""Sources and sinks that need no server."""
+
+from unittest.mock import MagicMock
+
+import pytest
+from pyspark.sql import functions as F
+
+from evrange.plans.job import endurance_pairs
+from evrange.schemas import SESSION
+from evrange.sources import staging
+from evrange.sources.jdbc import append_jdbc, read_jdbc
+from evrange.sources.tables import append_new, only_new, read_table, result_day, scan_partitions
+
+from helpers import WORKED, sessions, tables
+
+
+class Recorder:
+    """Stands for a reader or writer and notes the options it is given."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def mode(self, name):
+        self.seen["mode"] = name
+        return self
+
+    def load(self):
+        return self.seen
+
+    save = load
+
+
+def test_jdbc_read_options():
+    spark = MagicMock(read=Recorder())
+    seen = read_jdbc(spark, {"url": "jdbc:x"}, "t", "id STRING", split=("id", 0, 10, 4))
+    assert seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "fetchsize": "10000",
+                    "customSchema": "id STRING", "partitionColumn": "id", "lowerBound": "0",
+                    "upperBound": "10", "numPartitions": "4"}
+
+
+def test_jdbc_appends_in_batches_of_a_thousand():
+    rows = MagicMock(write=Recorder())
+    append_jdbc(rows, {"url": "jdbc:x"}, "t")
+    assert rows.write.seen == {"format": "jdbc", "url": "jdbc:x", "dbtable": "t", "batchsize": "1000",
+                               "numPartitions": "16", "mode": "append"}
+
+
+def test_second_append_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "pairs")
+    pairs = endurance_pairs(sessions(spark, WORKED), tables(spark))
+    append_new(pairs.limit(2), path)
+    assert spark.read.parquet(path).count() == 2
+    assert only_new(pairs, spark.read.parquet(path)).count() == 2
+    for _ in range(2):
+        append_new(pairs, path, spark.read.parquet(path), since="2024-01-01")
+    assert spark.read.parquet(path).count() == 4
+    assert {str(r[0]) for r in result_day(pairs).select("sample_date").collect()} == {"2024-01-01"}
+
+
+def test_declared_schema_and_day_range(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    (sessions(spark, WORKED).drop("mileage").withColumn("sample_date", F.to_date("start_time"))
+     .write.partitionBy("sample_date").parquet(path))
+    df = read_table(spark, path, SESSION)
+    assert df.where("mileage IS NULL").count() == 5
+    days = spark.read.parquet(path)
+    assert scan_partitions(days, "2023-12-31", "2024-01-01").count() == 5
+    assert scan_partitions(days, "2024-01-02", "2024-01-03").count() == 0
+
+
+def test_write_through_needs_a_shared_folder(spark):
+    assert staging.write_through(spark.range(3).toDF("a"), "numbers").count() == 3
+    bare = MagicMock()
+    bare.conf.get.return_value = None
+    bare.sparkContext.getCheckpointDir.return_value = None
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging.shared_folder(bare)
