@@ -22,14 +22,16 @@ CATALOG_FORMULAS = ["soc*0.95+2", "(soc-3)/0.94", "soc*", "soc/(soc-40)", "-(soc
 
 
 class Inputs:
-    """Derived tables of one data directory."""
+    """Derived tables of one data directory; a table asked for again is the same DataFrame."""
 
     def __init__(self, spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark, self.sf_dir = spark, sf_dir
 
     def __getattr__(self, name):
-        return table(self.spark, self.sf_dir, name)
+        found = table(self.spark, self.sf_dir, name)
+        setattr(self, name, found)
+        return found
 
     def tables(self) -> job.Tables:
         return job.Tables(self.battery_history, self.battery_conf,
@@ -195,7 +197,7 @@ def pair_ids(t):
 # functions ---------------------------------------------------------------------------
 
 def interval_mileage_parse(t):
-    return (t.detail_catalog.withColumn("band", parse_band(F.col("interval_mileage")))
+    return (t.detail_catalog.withColumn("band", parse_band("interval_mileage"))
             .select("id", "interval_mileage", F.col("band.usable").alias("usable"),
                     *[F.when(F.col("band.usable"), F.col(f"band.{c}")).alias(c)
                       for c in ("low_symbol", "low", "high_symbol", "high")]))
@@ -204,7 +206,7 @@ def interval_mileage_parse(t):
 def rule_eval(t):
     soc = (F.col("id") % 101).alias("soc")
     rows = t.detail_catalog.select("id", "soc_rule", soc)
-    value = rule_value(F.col("soc_rule"), F.col("soc"), CATALOG_FORMULAS)
+    value = rule_value("soc_rule", "soc", CATALOG_FORMULAS)
     return rows.withColumn("value", F.coalesce(value, F.lit(NOT_COMPUTED)))
 
 

@@ -1,7 +1,7 @@
 """Calibration formulas stored as text, e.g. `soc*0.95+2`.
 
 The text is data and is never executed: it is parsed against a short list of allowed
-nodes (numbers, `soc`, + - * /, signs, parentheses) and turned into a Column of
+nodes (numbers, `soc`, + - * /, signs, parentheses) and rebuilt from its parse tree as
 built-in arithmetic. Anything else, and a division by zero, gives null, which callers
 replace by the -1.0 marker.
 """
@@ -13,6 +13,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from .scalars import double_sql
+
 # Beyond this many distinct texts a CASE chain makes a generated method larger than the JVM
 # compiles, and the Arrow path evaluates the same parse trees instead.
 MAX_COMPILED = 12
@@ -45,19 +47,17 @@ def _walk(node):
     raise ValueError("not part of the formula grammar")
 
 
-def to_column(tree, soc: Column) -> Column:
-    """The parse tree as a double Column; `soc` must already be a double."""
+def to_sql(tree, soc: str) -> str:
+    """The parse tree as SQL over doubles; only numbers, `soc` and operators can occur."""
     kind = tree[0]
     if kind == "num":
-        return F.lit(tree[1])
+        return double_sql(tree[1])
     if kind == "soc":
-        return soc
+        return f"cast({soc} AS double)"
     if kind == "neg":
-        return -to_column(tree[1], soc)
-    left, right = to_column(tree[1], soc), to_column(tree[2], soc)
-    if kind == "/":
-        return F.try_divide(left, right)
-    return {"+": left + right, "-": left - right, "*": left * right}[kind]
+        return f"(-{to_sql(tree[1], soc)})"
+    left, right = to_sql(tree[1], soc), to_sql(tree[2], soc)
+    return f"try_divide({left}, {right})" if kind == "/" else f"({left} {kind} {right})"
 
 
 def _evaluate(tree, soc: np.ndarray, bad: np.ndarray) -> np.ndarray:
@@ -91,20 +91,27 @@ def evaluate_batch(rule: pd.Series, soc: pd.Series) -> pd.Series:
     return out
 
 
-def rule_value(rule: Column, soc: Column, texts=None) -> Column:
-    """Value of the formula `rule` at `soc`; null when it cannot be evaluated.
+def rule_value(rule: str, soc: str, texts=None) -> Column:
+    """Value of the formula in column `rule` at column `soc`; null when it cannot be evaluated.
 
     `texts` lists every distinct formula that can occur. With at most MAX_COMPILED of
     them the result is pure built-in expressions; otherwise, or with None, formulas are
     evaluated in Arrow batches.
     """
-    x = soc.cast("double")
     if texts is None or len(texts) > MAX_COMPILED:
-        return F.pandas_udf(evaluate_batch, "double")(rule, x)
-    chain = None
-    for text in sorted(t for t in texts if t is not None):
-        tree = parse(text)
-        if tree is not None:
-            branch = (rule == text, to_column(tree, x))
-            chain = F.when(*branch) if chain is None else chain.when(*branch)
-    return F.lit(None).cast("double") if chain is None else chain
+        return F.pandas_udf(evaluate_batch, "double")(F.col(rule), F.col(soc).cast("double"))
+    return case([(F.col(rule) == text, tree) for text, tree in trees(texts).items()], soc)
+
+
+def trees(texts) -> dict:
+    """Parse trees of the texts that are formulas."""
+    parsed = {text: parse(text) for text in sorted(t for t in texts if t is not None)}
+    return {text: tree for text, tree in parsed.items() if tree is not None}
+
+
+def case(branches, soc: str) -> Column:
+    """CASE over (condition, parse tree) pairs; null when none holds."""
+    chain = F
+    for condition, tree in branches:
+        chain = chain.when(condition, F.expr(to_sql(tree, soc)))
+    return F.lit(None).cast("double") if chain is F else chain

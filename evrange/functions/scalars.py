@@ -1,10 +1,17 @@
 """Small scalar helpers shared by the operators."""
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 NOT_COMPUTED = -1.0  # fixed value: marks a metric that could not be computed
 
 
+def double_sql(x: float) -> str:
+    """SQL literal with exactly the bits of `x`."""
+    return f"{x!r}D" if math.isfinite(x) else f"double('{x}')"
+
+
 def fixed(name: str, places: int) -> Column:
     """Column `name` rounded half up to `places` decimals; NaN becomes null, infinities pass.
 

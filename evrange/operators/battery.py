@@ -19,7 +19,7 @@ def details_by_parent(details: DataFrame) -> DataFrame:
 
     Meant for the rule tables, whose size `rulebook.load` checks first.
     """
-    detail = F.struct("id", "soc_rule", parse_band(F.col("interval_mileage")).alias("band"))
+    detail = F.struct("id", "soc_rule", parse_band("interval_mileage").alias("band"))
     return details.groupBy("parent_id").agg(F.sort_array(F.collect_list(detail)).alias("details"))
 
 
