@@ -51,5 +51,5 @@ def consecutive_pairs(df: DataFrame, key: str, order, take, within=(),
     df, slices = spread(df.where(F.col(key).isNotNull()), key, order, slice_rows)
     value = F.struct(*take)
     heads = across_cuts(slices.heads(df), slices, value, within) if slices.hot else None
-    pairs = with_successor(slices.tag(df), slices, value, heads, within)
+    pairs = with_successor(slices.scatter(slices.tag(df)), slices, value, heads, within)
     return expand_copies(pairs, order).select(*columns, "rear")

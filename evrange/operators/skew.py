@@ -87,6 +87,14 @@ class Slices:
                 .dropDuplicates([self.key, SLICE]))
         return df.sparkSession.createDataFrame(rows.toArrow(), rows.schema)
 
+    def scatter(self, tagged: DataFrame) -> DataFrame:
+        """Shuffle tagged rows by (key, slice), even if they are already gathered by key.
+
+        A window over (key, slice) accepts rows hashed by key alone, as a join by key
+        leaves them, and would then keep a hot key in one task.
+        """
+        return tagged.repartition(*self.keys) if self.hot else tagged
+
     def tag_spans(self, df: DataFrame, low: str, high: str) -> DataFrame:
         """Repeat each range row for every slice whose rows may fall into [low, high].
 
@@ -151,7 +159,9 @@ def find_slices(df: DataFrame, key: str, order, slice_rows: int = SLICE_ROWS,
     most, copies = per_key.agg(F.max(F.size(_CUTS)), F.max(F.col("n") > F.size(_CUTS))).first()
     if not most:
         return Slices(key, order)
-    return Slices(key, order, per_key.drop("n"), int(most).bit_length(), copies)
+    per_key = per_key.drop("n")
+    cuts = df.sparkSession.createDataFrame(per_key.toArrow(), per_key.schema)
+    return Slices(key, order, cuts, int(most).bit_length(), copies)
 
 
 COPIES, COPY = "__copies", "__copy"
