@@ -32,33 +32,48 @@ def _result(df):
         "id", "this_time_record_id", "run_mileage", "avg_electric_quantity_100km").collect())
 
 
-@pytest.mark.parametrize("mode", ["seed", "cumulative"])
-def test_two_runs_equal_one(spark, tmp_path, mode):
+@pytest.mark.parametrize("mode, late_days", [("seed", None), ("cumulative", 0)])
+def test_two_runs_equal_one(spark, tmp_path, mode, late_days):
     data, battery = _two_days(spark)
+    data = data.withColumn("sample_date", F.to_date("start_time"))
     none = spark.createDataFrame([], TASK_INFO)
     output, snapshots = str(tmp_path / "out"), str(tmp_path / "state")
 
     def run(sessions, date):
         return run_daily(sessions, battery, none, date, output, snapshots, mode=mode,
-                         force=True, all_periods=True)
+                         force=True, all_periods=True, late_days=late_days)
 
-    first = run(data.where(F.col("start_time") < F.lit("2024-01-02")), "2024-01-02")
+    first = run(data.where("sample_date < '2024-01-02'"), "2024-01-02")
     second = run(data, "2024-01-03")
     whole = endurance_pairs(data, battery, mode=mode)
     stored = spark.read.parquet(output)
-    assert first + second == whole.count() == stored.count()
+    assert first > 0 and second > 0 and first + second == whole.count() == stored.count()
     assert _result(stored) == _result(whole)
 
     assert run(data, "2024-01-03") == second  # a repeated run computes the same and adds nothing
     again = spark.read.parquet(output)
     assert _result(again) == _result(whole)
-    _, saved_mode, state = latest_snapshot(spark, snapshots, "2024-01-04")
-    assert saved_mode == mode and state.count() == 4
+    last_run, saved_mode, state = latest_snapshot(spark, snapshots, "2024-01-04")
+    assert (str(last_run), saved_mode) == ("2024-01-03", mode)
+    assert {r.vin: r.open.id for r in state.collect()} == {
+        "v0": "0-7", "v1": "1-7", "v2": "2-7", "late": "late-1"}
     with pytest.raises(ValueError, match="cannot resume"):
         run_daily(data, battery, none, "2024-01-04", output, snapshots, force=True, all_periods=True,
                   mode="seed" if mode == "cumulative" else "cumulative")
 
 
+def test_last_session_comes_from_the_snapshot_once_its_day_is_out_of_reach(spark, tmp_path):
+    data = sessions(spark, [session("old", -240, vin="v"), session("new", 30, mileage=150.0, vin="v")])
+    data = data.withColumn("sample_date", F.to_date("start_time"))
+    none = spark.createDataFrame([], TASK_INFO)
+    places = (str(tmp_path / "out"), str(tmp_path / "state"))
+    options = dict(force=True, all_periods=True, late_days=1)
+    assert run_daily(data.where("id = 'old'"), tables(spark), none, "2024-01-02", *places, **options) == 0
+    assert run_daily(data.where("id = 'new'"), tables(spark), none, "2024-01-03", *places, **options) == 1
+    assert [(r.last_time_record_id, r.this_time_record_id)
+            for r in spark.read.parquet(places[0]).collect()] == [("old", "new")]
+
+
 def test_run_waits_for_the_day_before(spark, tmp_path):
     tasks = spark.createDataFrame([("20240101", 4, 0), ("20240101", 1, 1), ("20231231", 4, 1)], TASK_INFO)
     assert not gates.ready(tasks, "2024-01-02") and gates.ready(tasks, "2024-01-01")
