@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import epoch_us
 from ..operators import rulebook as rules
-from ..operators.average import next_state, with_average
+from ..operators.average import with_average
 from ..operators.battery import battery_dimension, battery_parts
 from ..operators.intervals import match_rows, merge_by_time
 from ..operators.metrics import (REAR_COLUMNS, good_sessions, pair_fields, refuse,
