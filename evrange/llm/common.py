@@ -1,0 +1,42 @@
+"""Small helpers that the operators share."""
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def fresh(df: DataFrame, *bases: str) -> list[str]:
+    """Column names that `df` does not have, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for base in bases:
+        while base.lower() in taken:
+            base += "_"
+        taken.add(base.lower())
+        names.append(base)
+    return names
+
+
+def col(name: str):
+    """A column by its exact name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """`df` written to the checkpoint folder and read back, so that its lineage ends there.
+
+    The session's spark.checkpoint.dir decides the folder; only where it is unset and no
+    folder was given to the context is one made for this process.
+    """
+    session = df.sparkSession
+    if session.sparkContext.getCheckpointDir() is None:
+        import tempfile
+        session.sparkContext.setCheckpointDir(
+            session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint(eager=True)
+
+
+def partitions(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -1,0 +1,64 @@
+"""Encoding text by looking up the pieces between places where a pre-tokenizer always cuts.
+
+The pattern of public_tokenizers.PATTERN puts a border before every space that follows
+something other than white space, and looks at nothing beyond that border. A text can
+therefore be cut there first, and what lies between two cuts looked up by its value.
+"""
+
+import re
+
+_BORDER = re.compile(r"(?<=\S) ")
+_WIDE = re.compile(r"\s ")
+CACHED = 1_000_000      # entries of a worker's table; about 250 MB when it is full
+CACHED_CHARS = 48       # longer pieces are encoded each time they occur
+BATCH_CHARS = 4_000_000  # texts are taken together until they have this many characters
+
+
+def chunks(text: str) -> list[str]:
+    """Pieces whose concatenation is `text` and that a pre-tokenizer treats separately."""
+    if _WIDE.search(text):
+        cuts = [0, *(m.start() for m in _BORDER.finditer(text)), len(text)]
+        return [text[a:b] for a, b in zip(cuts, cuts[1:]) if a < b]
+    first, *rest = text.split(" ")
+    return ([first] if first else []) + [" " + r for r in rest]
+
+
+class Table:
+    """Encodes texts; `encode_many` turns a list of chunks into the bytes of their ids."""
+
+    def __init__(self, encode_many):
+        self.encode_many, self.known = encode_many, {}
+
+    def encode(self, texts):
+        """One bytes object for each text."""
+        get = self.known.get
+        cut = [chunks(t) for t in texts]
+        found = [[get(c) for c in pieces] for pieces in cut]
+        new = {}
+        for pieces, parts in zip(cut, found):
+            if None in parts:
+                for c, p in zip(pieces, parts):
+                    if p is None:
+                        new[c] = None
+        if new:
+            for c, ids in zip(new, self.encode_many(list(new))):
+                new[c] = ids
+            for i, parts in enumerate(found):
+                if None in parts:
+                    found[i] = [new[c] if p is None else p for c, p in zip(cut[i], parts)]
+            if len(self.known) + len(new) > CACHED:
+                self.known.clear()
+            self.known.update((c, ids) for c, ids in new.items() if len(c) <= CACHED_CHARS)
+        return [b"".join(parts) for parts in found]
+
+
+def blocks(texts):
+    """(from, to) of stretches of `texts` with about BATCH_CHARS characters, one text at least."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size >= BATCH_CHARS:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

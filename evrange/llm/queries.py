@@ -1,0 +1,17 @@
+"""The registered queries of this subpackage and the SQL that checks them."""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from evrange.llm import byte_bpe
+from evrange.llm.common import read
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
+
+
+QUERIES = {"op10_byte_bpe": op10_byte_bpe}
+SQL: dict[str, str] = {}
