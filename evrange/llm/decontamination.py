@@ -1,0 +1,106 @@
+"""Benchmark decontamination by spaced seeds, in DataFrame operations only.
+
+A seed is a fixed mask over successive tokens; the hash of the tokens under its ones finds
+test passages in training texts whose tokens under its zeros were replaced. Each hit gives a
+document, a test item and the offset between them. Around it the aligned tokens are compared:
+the best stretch (one for a token that agrees, minus one for one that does not) must be long
+and alike enough.
+"""
+
+from pyspark.sql import DataFrame, functions as F
+
+from evrange.llm.common import col, fresh, staged
+
+#: They find one replaced token in every 5, every 6 or more, and every 3.
+MASKS = ("1111011", "1111101", "11011011")
+MIN_TOKENS = 12
+SIMILARITY = 0.8
+TOKEN = r"[\p{L}\p{N}]+"
+#: Up to this many seeds, of 32 bytes each, are broadcast; more are joined by shuffle.
+BROADCAST_SEEDS = 1_000_000
+
+
+def _tokens(text):
+    """64-bit hashes of the lower-cased runs of letters and digits."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+    return F.transform(found, lambda t: F.xxhash64(t))
+
+
+def _seeds(table: DataFrame, masks) -> DataFrame:
+    """One row (seed, at) for each mask and place, beside all columns of `table` (tokens: `h`)."""
+    shortest = min(map(len, masks))
+    places = (table.where(F.size("h") >= shortest)
+              .select("*", F.explode(F.sequence(F.lit(0), F.size("h") - shortest)).alias("at")))
+    hashes = []
+    for number, mask in enumerate(masks):
+        ones = [F.get("h", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]
+        hashes.append(F.when(F.col("at") + len(mask) <= F.size("h"), F.xxhash64(F.lit(number), *ones)))
+    return places.select("*", F.explode(F.array(*hashes)).alias("seed")).where("seed IS NOT NULL")
+
+
+def _best():
+    """The best stretch of the array `same`: its score, its first and its last place."""
+    return F.expr("""
+        aggregate(same, named_struct('run', 0, 'from', 0, 'at', 0, 'score', 0, 'first', 0, 'last', -1),
+          (s, e) -> named_struct(
+            'run', if(s.run <= 0, 0, s.run) + if(e, 1, -1),
+            'from', if(s.run <= 0, s.at, s.from),
+            'at', s.at + 1,
+            'score', greatest(s.score, if(s.run <= 0, 0, s.run) + if(e, 1, -1)),
+            'first', if(if(s.run <= 0, 0, s.run) + if(e, 1, -1) > s.score, if(s.run <= 0, s.at, s.from), s.first),
+            'last', if(if(s.run <= 0, 0, s.run) + if(e, 1, -1) > s.score, s.at, s.last)))""")
+
+
+def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
+             item_text: str = "text", masks=MASKS, min_tokens: int = MIN_TOKENS, similarity: float = SIMILARITY,
+             broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+    """(doc_id, text_hash, item_id, matched, tokens, doc_start, item_start): for each document and
+    test item the longest stretch of at least `min_tokens` aligned tokens of which at least the share
+    `similarity` agrees; ties go to the earliest place.
+
+    Items whose tokens are all equal count as one, under the smallest item_id. Items and documents
+    shorter than the shortest mask, empty or null, have no rows; an item shorter than `min_tokens`
+    cannot be found. Rows that repeat a doc_id and text give one row, text_hash (XXH64 of the text)
+    tells texts with one doc_id, or none, apart. Other columns play no part.
+    """
+    tests = staged(items.select(col(item_id).alias("item_id"), _tokens(col(item_text)).alias("h"))
+                   .groupBy("h").agg(F.min("item_id").alias("item_id"))
+                   .where(F.size("h") >= min_tokens)
+                   .select("item_id", F.col("h").alias("item_h"), F.xxhash64("h").alias("item_key")))
+    seeds = staged(_seeds(tests.withColumnRenamed("item_h", "h"), masks)
+                   .select("seed", "item_key", F.col("at").alias("item_at"), F.size("h").alias("item_size")).distinct())
+    if seeds.count() <= broadcast_seeds:
+        seeds = F.broadcast(seeds)
+    train = docs.select(col(doc_id).alias("doc_id"), F.xxhash64(col(text)).alias("text_hash"), _tokens(col(text)).alias("h"))
+    hits = _seeds(train, masks).join(seeds, "seed")
+    # the part of the document that lies under the item
+    start = F.col("at") - F.col("item_at")
+    low = F.greatest(F.lit(0), start)
+    under = F.slice("h", low + 1, F.greatest(F.lit(0), F.least(F.size("h"), start + F.col("item_size")) - low))
+    lined = (hits.select("doc_id", "text_hash", "item_key", start.alias("start"), under.alias("doc_h"))
+             .groupBy("doc_id", "text_hash", "item_key", "start").agg(F.first("doc_h").alias("doc_h")))
+    shift = F.greatest(F.lit(0), -F.col("start"))
+    compared = (lined.join(tests, "item_key")
+                .select("doc_id", "text_hash", "item_id", "start", shift.alias("shift"),
+                        F.zip_with("doc_h", F.slice("item_h", shift + 1, F.size("doc_h")), lambda a, b: a == b).alias("same"))
+                .withColumn("best", _best()))
+    length = F.col("best.last") - F.col("best.first") + 1
+    matched = ((length + F.col("best.score")) / 2).cast("int")
+    item_start = F.col("shift") + F.col("best.first")
+    found = (compared.select("doc_id", "text_hash", "item_id", matched.alias("matched"), length.alias("tokens"),
+                             (F.col("start") + item_start).alias("doc_start"), item_start.alias("item_start"))
+             .where((F.col("tokens") >= min_tokens) & (F.col("matched") >= similarity * F.col("tokens"))))
+    order = F.struct(-F.col("matched"), F.col("tokens"), F.col("doc_start"), F.col("item_start"))
+    best = F.min_by(F.struct("matched", "tokens", "doc_start", "item_start"), order).alias("b")
+    return (found.groupBy("doc_id", "text_hash", "item_id").agg(best)
+            .select("doc_id", "text_hash", "item_id", "b.*"))
+
+
+def remove(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """`docs` without the rows that overlap a test item; columns, nulls and repeated rows stay."""
+    found = overlaps(docs, items, doc_id, text, **options).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct()
+    found_id, found_hash = fresh(docs, "found_id", "found_hash")
+    found = staged(found.toDF(found_id, found_hash))
+    on = col(doc_id).eqNullSafe(found[found_id]) & (F.xxhash64(col(text)) == found[found_hash])
+    return docs.join(found, on, "left_anti")

@@ -3,9 +3,20 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from evrange.llm import byte_bpe
+from evrange.llm import byte_bpe, decontamination, simhash
 from evrange.llm.common import read
 
+SHINGLE, SIMHASH_BITS = 4, 4
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), SHINGLE, SIMHASH_BITS)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return decontamination.overlaps(docs, items).drop("text_hash")
+
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
@@ -13,5 +24,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {}
