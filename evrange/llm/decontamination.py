@@ -27,10 +27,13 @@ def _tokens(text):
 
 
 def _seeds(table: DataFrame, masks) -> DataFrame:
-    """One row (seed, at) for each mask and place, beside all columns of `table` (tokens: `h`)."""
-    shortest = min(map(len, masks))
-    places = (table.where(F.size("h") >= shortest)
-              .select("*", F.explode(F.sequence(F.lit(0), F.size("h") - shortest)).alias("at")))
+    """One row (seed, at) for each mask and place, beside all columns of `table` (tokens: `h`).
+
+    The outer form of explode keeps Spark from filtering by the number of tokens first, for
+    which it would tokenize every text a second time.
+    """
+    last = F.size("h") - min(map(len, masks))
+    places = table.select("*", F.explode_outer(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at"))
     hashes = []
     for number, mask in enumerate(masks):
         ones = [F.get("h", F.col("at") + i) for i, bit in enumerate(mask) if bit == "1"]

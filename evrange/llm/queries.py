@@ -1,9 +1,9 @@
 """The registered queries of this subpackage and the SQL that checks them."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evrange.llm import byte_bpe, decontamination, simhash
+from evrange.llm import byte_bpe, decontamination, simhash, toxicity
 from evrange.llm.common import read
 
 SHINGLE, SIMHASH_BITS = 4, 4
@@ -18,11 +18,20 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.overlaps(docs, items).drop("text_hash")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
+           "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {}
