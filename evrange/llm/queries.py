@@ -3,10 +3,17 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evrange.llm import byte_bpe, decontamination, simhash, toxicity
+from evrange.llm import byte_bpe, decontamination, simhash, surrogates, toxicity
 from evrange.llm.common import read
 
 SHINGLE, SIMHASH_BITS = 4, 4
+#: Stands in for the secret that a user of the surrogates keeps.
+KEY = b"key of the registered queries"
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace(docs, KEY, count="n_entities")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +39,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
+QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
            "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {}
