@@ -12,8 +12,8 @@ from evrange.llm.queries import KEY, SHINGLE, SIMHASH_BITS
 
 
 def drop_toxic(spark, docs, sf_dir):
-    """Documents that the grammar, fitted on the labelled rows, scores 0.5 or more go."""
-    model = toxicity.fit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    """Documents that the grammar, fitted on the labelled rows among them, scores 0.5 or more go."""
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
     return toxicity.reject(docs, model)
 
 
