@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evrange.llm import byte_bpe, decontamination, simhash, surrogates, token_files, toxicity
+from evrange.llm import byte_bpe, decontamination, lookup_sketch, simhash, surrogates, token_files, toxicity
 from evrange.llm.common import read
 
 SHINGLE, SIMHASH_BITS = 4, 4
@@ -22,6 +22,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), SHINGLE, SIMHASH_BITS)
 
 
+def op6_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_sketch.compare_with_edit(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontamination.overlaps(docs, items).drop("text_hash")
@@ -49,6 +53,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
+QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op6_lookup_sketch": op6_lookup_sketch, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
            "op9_token_files": op9_token_files, "op10_byte_bpe": op10_byte_bpe}
 SQL: dict[str, str] = {}
