@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evrange.llm import byte_bpe, chat, decontamination, lookup_sketch, simhash, surrogates, token_files, toxicity
+from evrange.llm import byte_bpe, chat, decontamination, lookup_sketch, simhash, style_tree, surrogates, token_files, toxicity
 from evrange.llm.common import read
 
 SHINGLE, SIMHASH_BITS = 4, 4
@@ -22,6 +22,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), SHINGLE, SIMHASH_BITS)
 
 
+def op3_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.main_texts(read(spark, sf_dir, "pages"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -62,7 +66,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op4_chat": op4_chat, "op6_lookup_sketch": op6_lookup_sketch, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
+QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op3_style_tree": op3_style_tree, "op4_chat": op4_chat, "op6_lookup_sketch": op6_lookup_sketch, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
            "op9_token_files": op9_token_files, "op10_byte_bpe": op10_byte_bpe}
 _CONTROL = ["\\", "<s>", "</s>", "[INST]", "[/INST]", "[ROLE", "[/ROLE"]
 _ESCAPES = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _CONTROL)
