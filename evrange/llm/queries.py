@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from evrange.llm import byte_bpe, chat, decontamination, lookup_sketch, simhash, style_tree, surrogates, token_files, toxicity
+from evrange.llm import byte_bpe, chat, decontamination, lookup_sketch, pseudo_lm, simhash, style_tree, surrogates, token_files, toxicity
 from evrange.llm.common import read
 
 SHINGLE, SIMHASH_BITS = 4, 4
@@ -35,6 +35,11 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(turns, template), template)
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pseudo_lm.score(docs, *pseudo_lm.train(docs), keep=["doc_id"])
+
+
 def op6_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_sketch.compare_with_edit(read(spark, sf_dir, "documents"))
 
@@ -66,7 +71,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode(docs, tokens, public_tokenizers.PATTERN), ["doc_id"])
 
 
-QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op3_style_tree": op3_style_tree, "op4_chat": op4_chat, "op6_lookup_sketch": op6_lookup_sketch, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
+QUERIES = {"op1_surrogates": op1_surrogates, "op2_simhash": op2_simhash, "op3_style_tree": op3_style_tree, "op4_chat": op4_chat, "op5_pseudo_likelihood": op5_pseudo_likelihood,
+           "op6_lookup_sketch": op6_lookup_sketch, "op7_decontamination": op7_decontamination, "op8_toxicity": op8_toxicity,
            "op9_token_files": op9_token_files, "op10_byte_bpe": op10_byte_bpe}
 _CONTROL = ["\\", "<s>", "</s>", "[INST]", "[/INST]", "[ROLE", "[/ROLE"]
 _ESCAPES = " + ".join(f"(length(text) - length(replace(text, '{c}', ''))) // {len(c)}" for c in _CONTROL)
