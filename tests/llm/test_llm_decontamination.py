@@ -1,0 +1,79 @@
+"""Spaced seeds against aligning everything with everything."""
+
+import random
+
+import pytest
+
+from evrange.llm import decontamination
+from llm_cases import odd_documents
+
+
+def _tables(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    items = [[rng.choice(words) for _ in range(n)] for n in (15, 20, 30, 12, 7)]
+    docs = []
+    for i, item in enumerate(items):
+        for gap in (None, 5, 6, 9):
+            changed = [w if gap is None or k % gap != gap - 1 else "other" for k, w in enumerate(item)]
+            docs.append([rng.choice(words) for _ in range(25)] + changed + [rng.choice(words) for _ in range(10)])
+        docs.append(item[:6] + [rng.choice(words) for _ in range(30)])
+    docs += [[rng.choice(words) for _ in range(60)] for _ in range(20)]
+    text = lambda ws: ", ".join(ws).upper()
+    return (spark.createDataFrame([(i, text(d)) for i, d in enumerate(docs)], "doc_id long, text string"),
+            spark.createDataFrame([(i, text(d)) for i, d in enumerate(items)], "item_id long, text string"), docs, items)
+
+
+def _stretch(same):
+    best, cur, start, at = (0, 0, -1), 0, 0, 0
+    for at, s in enumerate(same):
+        if cur <= 0:
+            cur, start = 0, at
+        cur += 1 if s else -1
+        if cur > best[0]:
+            best = (cur, start, at)
+    return best
+
+
+def _brute(docs, items):
+    found = set()
+    for i, d in enumerate(docs):
+        for j, item in enumerate(items):
+            for shift in range(-len(item), len(d)):
+                low, high = max(0, shift), min(len(d), shift + len(item))
+                score, first, last = _stretch([d[k] == item[k - shift] for k in range(low, high)])
+                length = last - first + 1
+                if length >= decontamination.MIN_TOKENS and (length + score) // 2 >= decontamination.SIMILARITY * length:
+                    found.add((i, j))
+    return found
+
+
+@pytest.mark.parametrize("limit", [decontamination.BROADCAST_SEEDS, 0])
+def test_finds_what_aligning_everything_finds(spark, limit):
+    docs, items, d, i = _tables(spark)
+    rows = decontamination.overlaps(docs, items, broadcast_seeds=limit).collect()
+    want = _brute(d, i)
+    assert {(r.doc_id, r.item_id) for r in rows} == want and len(want) >= 12
+    whole = next(r for r in rows if (r.doc_id, r.item_id) == (0, 0))
+    assert whole.matched >= 15 and whole.doc_start <= 25 and whole.matched >= 0.8 * whole.tokens
+    kept = decontamination.remove(docs, items, broadcast_seeds=limit)
+    assert {r.doc_id for r in kept.collect()} == set(range(len(d))) - {x for x, _ in want}
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    items = spark.createDataFrame([(1, None), (2, ""), (3, "word " * 20), (3, "word " * 20), (None, "x y"), (4, "the quick brown fox")],
+                                  "item_id long, text string")
+    rows = decontamination.overlaps(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.matched) for r in rows] == [(8, 3, 20)]
+    kept = decontamination.remove(docs, items)
+    assert kept.columns == docs.columns and kept.count() == docs.count() - 1
+    assert decontamination.overlaps(docs.where("false"), items).count() == 0
+    assert decontamination.overlaps(docs, items.where("false")).count() == 0
+
+
+def test_no_python_and_no_second_tokenization(spark):
+    docs, items, *_ = _tables(spark)
+    plan = decontamination.overlaps(docs, items)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+    assert plan.count("regexp_extract_all") == 1

@@ -1,0 +1,120 @@
+"""Near-duplicates against all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from evrange.llm import components, simhash
+from llm_cases import odd_documents
+
+
+def _roots(values, links):
+    parent = {v: v for v in values}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x] = parent[parent[x]]
+        return x
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {v: find(v) for v in values}
+
+
+def _brute(fps, bits):
+    return [(a, b) for i, a in enumerate(fps) for b in fps[:i] if ((a ^ b) & (1 << 64) - 1).bit_count() <= bits]
+
+
+def _flip(value, positions):
+    value &= (1 << 64) - 1
+    for p in positions:
+        value ^= 1 << p
+    return value - (1 << 64) if value >> 63 else value
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3, 4])
+def test_near_fingerprints_share_a_key(distance):
+    rng = random.Random(distance)
+    for _ in range(1500):
+        a = _flip(rng.getrandbits(64), [])
+        b = _flip(a, rng.sample(range(64), distance))
+        keys = [set(simhash.keys(np.array([x]))[0].tolist()) for x in (a, b)]
+        assert keys[0] & keys[1]
+
+
+def test_code_words_are_those_within_four_bits():
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 1 << 23, 200)
+    index, there = simhash.code_words(words)
+    assert set(there.sum(axis=1)) <= {1, 6}
+    low, high, errors, _ = simhash._golay()
+    for w, row, ok in zip(words, index, there):
+        syndrome = low[w & 4095] ^ high[w >> 12]
+        for i, e in zip(row[ok], errors[syndrome][ok]):
+            word = w ^ e
+            assert word >> 11 == i and int(e).bit_count() <= 4 and low[word & 4095] ^ high[word >> 12] == 0
+
+
+@pytest.mark.parametrize("bucket", [4096, 20])
+def test_classes_are_those_of_all_pairs(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(3)
+    fps = {_flip(rng.getrandbits(64), []) for _ in range(100)}
+    for centre in list(fps)[:4]:
+        fps |= {_flip(centre, rng.sample(range(64), rng.randint(1, 6))) for _ in range(60)}
+    fps = sorted(fps)
+    found = simhash.classes(spark.createDataFrame([(f,) for f in fps], "fp long").repartition(3), 4)
+    assert {r.fp: r.root for r in found.collect()} == _roots(fps, _brute(fps, 4))
+    none = simhash.classes(spark.createDataFrame([], "fp long"), 4)
+    assert none.count() == 0
+    with pytest.raises(ValueError):
+        simhash.links(none, 5)
+
+
+def test_fingerprint_by_the_definition():
+    import xxhash
+    text = "A b\tC d\x0be F a B c d"
+    words = "a b c d e f a b c d".split()
+    shingles = [" ".join(words[i:i + 4]) for i in range(7)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    want = sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > 7)
+    assert simhash.fingerprint(text, 4) & (1 << 64) - 1 == want
+    assert simhash.fingerprint("É x", 4) & (1 << 64) - 1 == xxhash.xxh64_intdigest("É x", 42)
+    assert simhash.fingerprint(None, 4) == simhash.fingerprint(" \n", 4) == 0
+    assert simhash.fingerprint("a b", 1) & (1 << 64) - 1 == xxhash.xxh64_intdigest("a b", 42)
+
+
+def test_near_duplicates_of_odd_documents(spark):
+    docs = odd_documents(spark)
+    rows = simhash.near_duplicates(docs, 4, 4).collect()
+    assert len(rows) == docs.count()
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, set()).add(f"{simhash.fingerprint(r.text, 4) & (1 << 64) - 1:016x}")
+    for r in rows:
+        assert r.fingerprint in texts[r.doc_id]
+    by = {(r.doc_id, r.fingerprint): r.component_id for r in rows}
+    empty, fox = "0" * 16, f"{simhash.fingerprint('the quick brown fox', 4) & (1 << 64) - 1:016x}"
+    assert by[1, empty] == by[2, empty] == by[None, empty] == 0 and by[None, fox] == by[6, fox] == 5
+    assert simhash.near_duplicates(docs.where("false"), 4, 4).count() == 0
+    alone = docs.where("doc_id IS NULL AND text IS NOT NULL")
+    assert simhash.near_duplicates(alone, 4, 4).first().component_id is None
+
+
+def test_keep_one(spark):
+    docs = odd_documents(spark)
+    kept = simhash.keep_one(docs, 4, 4)
+    assert kept.columns == docs.columns
+    rows = simhash.near_duplicates(docs, 4, 4).collect()
+    # doc_id 5 names texts of two classes
+    assert kept.count() == len({r.component_id for r in rows}) + 1
+    ids = [r.doc_id for r in kept.collect()]
+    assert 0 in ids and 1 not in ids and None not in ids and ids.count(5) in (1, 2)
+    assert simhash.keep_one(docs.where("false"), 4, 4).count() == 0
+
+
+def test_chains_of_links(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)] + [(200, 200 + i) for i in range(1, 30)]
+    found = {r.u: r.v for r in components.stars(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(1, 41)}, 101: 100, **{200 + i: 200 for i in range(1, 30)}}
