@@ -22,6 +22,18 @@ def sessions_since(sessions: DataFrame, marks: DataFrame, floor=None) -> DataFra
     return joined.where(wanted).select(sessions.columns)
 
 
+def sessions_from(sessions: DataFrame, last: DataFrame, order) -> DataFrame:
+    """Sessions that are not before their vehicle's last one in the whole session order.
+
+    `last` has one row per vehicle with the session as struct `open`. A session that starts
+    with the last one but sorts before it was paired already and is not read again.
+    """
+    marks = last.select(F.col("vin").alias("__vin"), F.struct(*[F.col(f"open.{c}") for c in order]).alias("__from"))
+    joined = sessions.join(marks, sessions["vin"] == F.col("__vin"), "left")
+    here = F.struct(*[F.col(c) for c in order])
+    return joined.where(F.col("__from").isNull() | (here >= F.col("__from"))).select(sessions.columns)
+
+
 def fleet_only(sessions: DataFrame, vehicles: DataFrame) -> DataFrame:
     """Sessions of known vehicles; a vehicle listed twice does not double its sessions."""
     return sessions.join(vehicles.select("vin"), "vin", "left_semi").select(sessions.columns)

@@ -4,20 +4,38 @@ import uuid
 
 from pyspark.sql import DataFrame
 
+from . import folders
+
 
 def shared_folder(spark) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder given to the context, else the one that spark.checkpoint.dir names."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    if not spark.sparkContext.master.startswith("local") and folders.scheme(spark, folder) == "file":
+        raise ValueError(f"{folder} is a folder of one machine; executors on others cannot reach it")
     return folder.rstrip("/")
 
 
-def write_through(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` as a table and read it back, so that several consumers compute it once.
+class Staging:
+    """A folder for the intermediate tables of one run; leaving the block deletes it.
 
-    Unlike cached blocks the files outlive any executor.
+    Unlike cached blocks the files outlive any executor. What is read from them must be
+    used up inside the block.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/staging-{uuid.uuid4().hex}"
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        folders.remove(self.spark, self.folder)
+
+    def write_through(self, df: DataFrame, name: str) -> DataFrame:
+        """Write `df` as a table and read it back, so that several consumers compute it once."""
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -6,8 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from evrange.operators import average, gates, incremental
-from evrange.plans.job import endurance_pairs
+from evrange.operators.pairing import SESSION_ORDER
+from evrange.plans import run
+from evrange.plans.job import endurance_pairs, scored_pairs
 from evrange.plans.run import latest_snapshot, run_daily
+from evrange.sources import folders
+from evrange.sources.staging import shared_folder
 from evrange.schemas import AVG_STATE, TASK_INFO, VEHICLE
 
 from helpers import WORKED, at, session, sessions, tables
@@ -39,18 +43,18 @@ def test_two_runs_equal_one(spark, tmp_path, mode, late_days):
     none = spark.createDataFrame([], TASK_INFO)
     output, snapshots = str(tmp_path / "out"), str(tmp_path / "state")
 
-    def run(sessions, date):
+    def one(sessions, date):
         return run_daily(sessions, battery, none, date, output, snapshots, mode=mode,
                          force=True, all_periods=True, late_days=late_days)
 
-    first = run(data.where("sample_date < '2024-01-02'"), "2024-01-02")
-    second = run(data, "2024-01-03")
+    first = one(data.where("sample_date < '2024-01-02'"), "2024-01-02")
+    second = one(data, "2024-01-03")
     whole = endurance_pairs(data, battery, mode=mode)
     stored = spark.read.parquet(output)
     assert first > 0 and second > 0 and first + second == whole.count() == stored.count()
     assert _result(stored) == _result(whole)
 
-    assert run(data, "2024-01-03") == second  # a repeated run computes the same and adds nothing
+    assert one(data, "2024-01-03") == second  # a repeated run computes the same and adds nothing
     again = spark.read.parquet(output)
     assert _result(again) == _result(whole)
     last_run, saved_mode, state = latest_snapshot(spark, snapshots, "2024-01-04")
@@ -111,3 +115,92 @@ def test_state_as_json(spark):
     assert average.state_from_json(exported).collect() == state.collect()
     broken = exported.withColumn("state_json", F.lit("{"))
     assert average.state_from_json(broken).count() == 0
+
+
+def _places(tmp_path):
+    return str(tmp_path / "out"), str(tmp_path / "state")
+
+
+ALWAYS = dict(force=True, all_periods=True)
+
+
+@pytest.mark.parametrize("killed", ["append_new", "write_snapshot"])
+def test_a_killed_run_is_made_good_by_the_next_date(spark, tmp_path, monkeypatch, killed):
+    data, battery = _two_days(spark)
+    none, places = spark.createDataFrame([], TASK_INFO), _places(tmp_path)
+    early = data.where("start_time < '2024-01-01 12:00'")
+    run_daily(early, battery, none, "2024-01-02", *places, mode="cumulative", **ALWAYS)
+    with monkeypatch.context() as broken:
+        def die(*_, **__):
+            raise KeyboardInterrupt
+        broken.setattr(run, killed, die)
+        with pytest.raises(KeyboardInterrupt):
+            run_daily(data.where("start_time < '2024-01-02'"), battery, none, "2024-01-03", *places, mode="cumulative", **ALWAYS)
+    run_daily(data, battery, none, "2024-01-05", *places, mode="cumulative", **ALWAYS)
+    whole = endurance_pairs(data, battery, mode="cumulative")
+    assert _result(spark.read.parquet(places[0])) == _result(whole)
+    state = latest_snapshot(spark, places[1], "2024-02-01")[2]
+    expected = average.next_state(scored_pairs(data, battery, mode="cumulative"), SESSION_ORDER, None, "cumulative")
+    pick = lambda df: sorted(tuple(r) for r in df.where("sum_run_mileage IS NOT NULL").select(average.STATE_COLUMNS).collect())
+    assert pick(state) == pick(expected)
+
+
+@pytest.mark.parametrize("mode", ["seed", "cumulative"])
+def test_two_runs_with_equal_starts_and_ends(spark, tmp_path, mode):
+    data = sessions(spark, [session(f"s{i}", i // 3, 20, 80 - i, 100.0 + 10 * i * i, "v") for i in range(12)])
+    none, places, battery = spark.createDataFrame([], TASK_INFO), _places(tmp_path), tables(spark)
+    run_daily(data.where("id IN ('s0', 's1', 's10', 's2', 's3', 's4')"), battery, none, "2024-01-02", *places, mode=mode, **ALWAYS)
+    first = [f"s{i}" for i in (0, 1, 2, 3, 4, 10)]
+    later = data.where(~F.col("id").isin(first) & (F.col("start_time") > F.lit(at(3))) | F.col("id").isin(first))
+    run_daily(later, battery, none, "2024-01-03", *places, mode=mode, **ALWAYS)
+    assert _result(spark.read.parquet(places[0])) == _result(endurance_pairs(later, battery, mode=mode))
+
+
+def test_late_days_go_by_sample_date(spark, tmp_path):
+    none, battery = spark.createDataFrame([], TASK_INFO), tables(spark)
+    for shift in (-1, 1):
+        places = _places(tmp_path / str(shift))
+        data = sessions(spark, [session("a", 0), session("b", 30, mileage=150.0), session("c", 60, mileage=190.0)])
+        data = data.withColumn("sample_date", F.date_add(F.to_date("start_time"), shift))
+        run_daily(data.where("id <> 'c'"), battery, none, "2024-01-03", *places, late_days=1, **ALWAYS)
+        run_daily(data, battery, none, "2024-01-04", *places, late_days=1, **ALWAYS)
+        assert sorted((r.last_time_record_id, r.this_time_record_id) for r in spark.read.parquet(places[0]).collect()) == [
+            ("a", "b"), ("b", "c")]
+
+
+def test_a_state_folder_without_snapshots_raises(spark, tmp_path):
+    places = _places(tmp_path)
+    (tmp_path / "state").mkdir()
+    with pytest.raises(ValueError, match="no snapshot"):
+        run_daily(sessions(spark, WORKED), tables(spark), spark.createDataFrame([], TASK_INFO), "2024-01-02", *places, **ALWAYS)
+
+
+def test_a_date_has_one_snapshot_whatever_its_mode(spark, tmp_path):
+    none, places, data = spark.createDataFrame([], TASK_INFO), _places(tmp_path), sessions(spark, WORKED)
+    run_daily(data, tables(spark), none, "2024-01-02", *places, **ALWAYS)
+    run_daily(data, tables(spark), none, "2024-01-02", *places, mode="cumulative", **ALWAYS)
+    assert latest_snapshot(spark, places[1], "2024-01-03")[1] == "cumulative"
+
+
+def test_a_lost_state_is_replaced_by_the_stored_rows(spark, tmp_path):
+    data, battery = _two_days(spark)
+    none, places = spark.createDataFrame([], TASK_INFO), _places(tmp_path)
+    run_daily(data.where("start_time < '2024-01-02'"), battery, none, "2024-01-02", *places, mode="cumulative", **ALWAYS)
+    state = latest_snapshot(spark, places[1], "2024-01-03")[2].select(average.STATE_COLUMNS)
+    pairs = run_daily(data, battery, none, "2024-01-03", places[0], str(tmp_path / "other"), mode="cumulative",
+                      state=state.where("sum_run_mileage IS NOT NULL"), **ALWAYS)
+    whole = endurance_pairs(data, battery, mode="cumulative")
+    assert _result(spark.read.parquet(places[0])) == _result(whole) and 0 < pairs < whole.count()
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, tmp_path):
+    before = set(folders.names(spark, shared_folder(spark)))
+    run_daily(sessions(spark, WORKED), tables(spark), spark.createDataFrame([], TASK_INFO), "2024-01-02", *_places(tmp_path), **ALWAYS)
+    assert not {n for n in set(folders.names(spark, shared_folder(spark))) - before if n.startswith("staging")}
+
+
+def test_large_values_do_not_leave_a_sum_unnoticed(spark):
+    data = [session("a", 0, 0, 90, 0.0), session("b", 1, 40, 80, 3e16), session("c", 2, 30, 70, 3e16 + 64)]
+    with pytest.raises(Exception, match="too large for an exact sum"):
+        endurance_pairs(sessions(spark, data), tables(spark), mode="cumulative").collect()
+    assert endurance_pairs(sessions(spark, data), tables(spark)).count() == 2
