@@ -72,12 +72,17 @@ class Slices:
                 .withColumn(SLICE, F.when(F.col(_CUTS).isNull(), 0).otherwise(number))
                 .drop(_CUTS))
 
-    def heads(self, df: DataFrame) -> DataFrame:
+    def heads(self, df: DataFrame, within=()) -> DataFrame:
         """The first row of every slice but a key's first: the rows at the cuts.
 
         Found by an equality join with the cuts and bounded by their number, so the
-        result is a small local table.
+        result is a small local table. With `within`, the first row of every group of
+        every slice of the hot keys: aggregated before the shuffle, and not local.
         """
+        if within:
+            first = F.min_by(F.struct(*df.columns), F.struct(*self.order)).alias("__first")
+            tagged = self.only_hot(self.tag(df))
+            return tagged.groupBy(self.key, SLICE, *within).agg(first).select("__first.*", SLICE)
         cut = (self.cuts.select(self.key, F.posexplode(_CUTS).alias("__pos", "__cut"))
                .select(F.col(self.key).alias("__key"), (F.col("__pos") + 1).alias(SLICE), "__cut"))
         at_cut = F.col(self.key) == F.col("__key")
@@ -128,14 +133,10 @@ def hot_keys(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.sparkSession.createDataFrame(found, counted.schema) if found.num_rows else None
 
 
-def find_slices(df: DataFrame, key: str, order, slice_rows: int = SLICE_ROWS,
-                size_of: DataFrame = None) -> Slices:
-    """Look for hot keys of `df` and cut their rows, sorted by `order`, into slices.
-
-    `size_of` may name a table that is cheaper to count and at least as long as `df`.
-    """
+def find_slices(df: DataFrame, key: str, order, slice_rows: int = SLICE_ROWS) -> Slices:
+    """Look for hot keys of `df` and cut their rows, sorted by `order`, into slices."""
     order = tuple(order)
-    total = (df if size_of is None else size_of).count()
+    total = df.count()
     if total <= slice_rows:
         return Slices(key, order)
     per_slice = max(slice_rows, -(-total // MAX_SLICES))
@@ -170,9 +171,13 @@ COPIES, COPY = "__copies", "__copy"
 def collapse_copies(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Equal rows as one row with their number in `__copies`, counted before the shuffle.
 
-    More than `slice_rows` copies become several rows told apart by `__copy`.
+    More than `slice_rows` copies become several rows told apart by `__copy`. Doubles are
+    grouped by their printed form, since grouping by value would turn -0.0 into 0.0.
     """
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__n"))
+    doubles = {f.name for f in df.schema if f.dataType.typeName() in ("double", "float")}
+    by = [F.col(c).cast("string").alias(f"__as_{c}") if c in doubles else F.col(c) for c in df.columns]
+    counted = (df.groupBy(*by).agg(F.count("*").alias("__n"), *[F.first(c).alias(c) for c in sorted(doubles)])
+               .select(*df.columns, "__n"))
     parts = F.ceil(F.col("__n") / slice_rows)
     return (counted.withColumn("__parts", parts)
             .withColumn(COPY, F.explode(F.sequence(F.lit(1).cast("long"), F.col("__parts"))))

@@ -49,7 +49,7 @@ def matched_pairs(facts: DataFrame, parts: DataFrame, slices: Slices, within=(),
     """
     value = F.struct(*REAR_COLUMNS, F.col("matched.electric_quantity").alias("quantity"))
     if slices.hot:
-        heads = across_cuts(match_rows(heads, parts, slices, payload), slices, value, within)
+        heads = across_cuts(match_rows(heads, parts, slices, payload, within), slices, value, within)
     rows = merge_by_time(slices.tag(facts), parts, slices, payload)
     if book is not None:
         # here rather than after the pairing, which keeps both generated methods small
@@ -89,9 +89,9 @@ def scored_pairs(sessions: DataFrame, tables: Tables, day: str = None, state: Da
         sessions = good_sessions(sessions)
     facts = on_time_axis(sessions, within)
     facts, slices = spread(facts, "vin", SESSION_ORDER, slice_rows)
-    heads = slices.heads(facts) if slices.hot else None
+    heads = slices.heads(facts, within) if slices.hot else None
     dimension = battery_dimension(tables.history, tables.conf, tables.soc_rule, day, conf_fallback)
-    parts = battery_parts(dimension, slice_rows, size_of=tables.history)
+    parts = battery_parts(dimension, slice_rows)
     book = rules.load(tables.soc_rule, tables.soc_rule_detail)
 
     def measure(rows):
