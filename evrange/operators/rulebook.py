@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bands import contains_sql, last_match, parse_band
-from ..functions.formula import case, rule_value, trees
+from ..functions.formula import case, finite_sql, rule_value, trees
 from ..functions.scalars import NOT_COMPUTED
 from .battery import default_rule_details, details_by_parent
 
@@ -78,15 +78,20 @@ class Rulebook:
             text = F.when(F.col("detail_id") == number, F.lit(rule)).otherwise(text)
         return pairs.withColumn("detail_rule", text)
 
-    def value(self, soc: str) -> Column:
-        """Formula value of the attached detail, or the -1.0 marker where there is none."""
+    def with_value(self, rows: DataFrame, name: str, soc: str) -> DataFrame:
+        """Add the formula value of the attached detail, or the -1.0 marker where there is none.
+
+        In two projections, so that the formulas are computed once and generated methods stay small.
+        """
         if self.details is None:
             found = rule_value("detail_rule", soc, self.texts)
         else:
             found = case([
                 (F.col("detail_id").isin([d["id"] for d in self.details if d["soc_rule"] == text]), tree)
                 for text, tree in trees(self.texts).items()], soc)
-        return F.coalesce(found, F.lit(NOT_COMPUTED))
+        rows = rows.withColumn("__formula", found)
+        value = F.coalesce(F.expr(finite_sql("__formula")), F.lit(NOT_COMPUTED))
+        return rows.withColumn(name, value).drop("__formula")
 
 
 def load(soc_rule: DataFrame, soc_rule_detail: DataFrame,

@@ -70,7 +70,8 @@ def test_missing_configuration_takes_the_vehicle_default(spark):
 def test_rulebook_forms_agree(spark, limits, form):
     details = [(i, band, text, 1 + i % 2, "0") for i, (band, text) in enumerate([
         (">=,0,<,50", "soc*2"), (">=,0,<,50", "soc+1"), (">=,20,<,80", "soc/4"), (">=,20,<,80", "soc*"),
-        (">=,0,<", "soc"), (",,,", "soc-1"), (">,90,,", "soc/(soc-10)"), (">,NaN,,", "soc")])]
+        (">=,0,<", "soc"), (",,,", "soc-1"), (">,90,,", "soc/(soc-10)"), (">,NaN,,", "soc"),
+        (">=,85,<,90", "soc*1e308*1e10")])]
     rules = [(1, "s", "h", "B", "BMS", "1", "0"), (2, "s", "h", "C", "BMS", "1", "0")]
     t = tables(spark, rules=rules, details=details)
     book = load(t.soc_rule, t.soc_rule_detail, **limits)
@@ -78,11 +79,10 @@ def test_rulebook_forms_agree(spark, limits, form):
             "shuffled": book.texts is None}[form]
     pairs = spark.range(0, 100, 5).selectExpr(
         "cast(id AS string) AS id", "cast(id AS double) AS m", "explode(array(1, 2, 3, null)) AS rule", "10 AS soc")
-    got = (book.attach(pairs, "rule", "m", "id")
-           .select("id", "rule", "detail_id", "detail_rule", book.value("soc").alias("v")))
+    got = book.with_value(book.attach(pairs, "rule", "m", "id"), "v", "soc")
 
     def expected(m, rule):
-        held = {1: [(0, 0 <= m < 50, 20.0), (2, 20 <= m < 80, 2.5), (6, m > 90, -1.0)],
+        held = {1: [(0, 0 <= m < 50, 20.0), (2, 20 <= m < 80, 2.5), (6, m > 90, -1.0), (8, 85 <= m < 90, -1.0)],
                 2: [(1, 0 <= m < 50, 11.0), (3, 20 <= m < 80, -1.0), (5, True, 9.0)]}.get(rule, [])
         hits = [(i, v) for i, ok, v in held if ok]
         return hits[-1] if hits else (None, -1.0)
