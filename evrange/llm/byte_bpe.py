@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, functions as F
 from evrange.llm import pretokens
 from evrange.llm.common import col, fresh
 
+#: Chunks that a worker keeps: few enough to stay beside what other operators keep there.
+CACHED = 250_000
+
 
 def read_ranks(path: str) -> list[bytes]:
     """The tokens of a rank file, by rank. Ranks must be 0, 1, 2, ... without a gap."""
@@ -79,7 +82,7 @@ class Codec:
         self.token = [bytes(back[c] for c in p) for p in pieces]
         self.whole = {p: [i] for i, (p, ids) in enumerate(zip(pieces, self.model.encode(pieces, num_threads=1)))
                       if ids != [i]}
-        self.table = pretokens.Table(self._encode_many)
+        self.table = pretokens.Table(self._encode_many, CACHED)
 
     def _encode_many(self, chunks: list[str]) -> list[bytes]:
         words, ends = [], []

@@ -24,10 +24,11 @@ def chunks(text: str) -> list[str]:
 
 
 class Table:
-    """Encodes texts; `encode_many` turns a list of chunks into the bytes of their ids."""
+    """Encodes texts; `encode_many` turns a list of chunks into the bytes of their ids, of which
+    `cached` are kept (CACHED, if not given)."""
 
-    def __init__(self, encode_many):
-        self.encode_many, self.known = encode_many, {}
+    def __init__(self, encode_many, cached=None):
+        self.encode_many, self.known, self.cached = encode_many, {}, cached
 
     def encode(self, texts):
         """One bytes object for each text."""
@@ -46,7 +47,7 @@ class Table:
             for i, parts in enumerate(found):
                 if None in parts:
                     found[i] = [new[c] if p is None else p for c, p in zip(cut[i], parts)]
-            if len(self.known) + len(new) > CACHED:
+            if len(self.known) + len(new) > (self.cached or CACHED):
                 self.known.clear()
             self.known.update((c, ids) for c, ids in new.items() if len(c) <= CACHED_CHARS)
         return [b"".join(parts) for parts in found]

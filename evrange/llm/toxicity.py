@@ -120,7 +120,7 @@ def clause_sums(symbols, weights) -> list[float]:
 class Lexicon(dict):
     """word -> (symbol, weight), filled as words are met; `arcs` maps stems and whole words ("word$") to weights."""
 
-    LIMIT = 500_000
+    LIMIT = 100_000
 
     def __init__(self, arcs):
         self.arcs = arcs

@@ -56,7 +56,7 @@ def test_every_token_of_the_vocabulary_encodes_to_itself(reference):
 
 
 def test_table_is_cleared_without_changing_results(monkeypatch, reference):
-    monkeypatch.setattr(pretokens, "CACHED", 5)
+    monkeypatch.setattr(byte_bpe, "CACHED", 5)
     codec = byte_bpe.Codec(byte_bpe.model_bytes(byte_bpe.read_ranks(RANKS)), public_tokenizers.PATTERN)
     for text in _random_texts(200):
         assert list(memoryview(codec.encode([text])[0]).cast("I")) == reference.encode_ordinary(text)
