@@ -1,5 +1,6 @@
 """Spaced seeds against aligning everything with everything."""
 
+import itertools
 import random
 
 import pytest
@@ -77,3 +78,49 @@ def test_no_python_and_no_second_tokenization(spark):
     plan = decontamination.overlaps(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
     assert plan.count("regexp_extract_all") == 1
+
+
+def _every_stretch(docs, items):
+    """The longest stretch of each pair, its ends agreeing, by trying every one: (tokens, doc_start, item_start, matched)."""
+    found = {}
+    for i, d in enumerate(docs):
+        for j, item in enumerate(items):
+            for shift in range(-len(item), len(d)):
+                low, high = max(0, shift), min(len(d), shift + len(item))
+                same = [d[k] == item[k - shift] for k in range(low, high)]
+                ends = [k for k, s in enumerate(same) if s]
+                for a in ends:
+                    for b in ends:
+                        n, m = b - a + 1, sum(same[a:b + 1])
+                        if n >= decontamination.MIN_TOKENS and 5 * m >= 4 * n:
+                            key = (-n, low + a, low + a - shift, m)
+                            found[i, j] = min(found.get((i, j), key), key)
+    return {k: (-n, *rest) for k, (n, *rest) in found.items()}
+
+
+def test_finds_the_longest_of_all_stretches(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(3000)]
+    draw = lambda n: [rng.choice(words) for _ in range(n)]
+    items = [draw(n) for n in (40, 115, 130, 12, 15, 20, 22, 30)]
+    docs = []
+    for item, (a, b) in zip(items, ((15, 25), (40, 75), (50, 80))):     # a changed middle
+        docs.append(draw(5) + item[:a] + draw(b - a) + item[b:] + draw(5))
+    for item, changes in zip(items[3:7], (2, 3, 4, 4)):
+        for _ in range(25):
+            changed = set(rng.sample(range(len(item)), changes))
+            docs.append(draw(3) + ["other" if k in changed else w for k, w in enumerate(item)] + draw(3))
+    for _ in range(25):         # about the least likeness
+        docs.append(draw(3) + [w if rng.random() < 0.7 else "other" for w in items[7]] + draw(3))
+    text = lambda rows, name: spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(rows)], f"{name} long, text string")
+    rows = decontamination.overlaps(text(docs, "doc_id"), text(items, "item_id")).collect()
+    want = _every_stretch(docs, items)
+    assert {(r.doc_id, r.item_id): (r.tokens, r.doc_start, r.item_start, r.matched) for r in rows} == want
+    assert {(0, 0), (1, 1), (2, 2)} <= set(want) and want[2, 2][0] >= 50
+
+
+def test_masks_hit_every_pattern():
+    ones = [(len(m), {k for k, bit in enumerate(m) if bit == "1"}) for m in decontamination.MASKS]
+    for n, differ in ((12, 2), (15, 3), (20, 4)):
+        for changed in itertools.combinations(range(n), differ):
+            assert any(not any(at + k in changed for k in mask) for size, mask in ones for at in range(n - size + 1)), changed
