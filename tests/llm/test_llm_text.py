@@ -74,6 +74,16 @@ def test_toxicity_of_odd_documents(spark):
         toxicity.score(docs, model, ["doc_id"], out="doc_id")
 
 
+def test_only_copies_are_left_out_of_learning(spark):
+    rng = random.Random(6)
+    texts = ["a the " + " ".join(f"w{rng.randrange(500)}" for _ in range(60)) for _ in range(120)]
+    near = [" ".join("other" if k == n else w for k, w in enumerate(texts[0].split())) for n in range(2, 40)]
+    rows = [(f"{k:03}", t, 0) for k, t in enumerate([*texts, *near, *texts[:30], texts[5].upper(), "", None, "one", "two", "two"])]
+    rows += [("x", texts[7], 1)]
+    kept = toxicity._without_copies(spark.createDataFrame(rows, "i string, text string, y int").repartition(3)).collect()
+    assert sorted((r.text or "", r.y) for r in kept) == sorted([*((t, 0) for t in [*texts, "", "one", "two"]), (texts[7], 1)])
+
+
 # --- surrogates
 
 PRIVATE = ("Mrs. Anna Smith (anna.smith@Mail.example.org, +1 (415) 555-0134) wrote to Mr Brown. Smith paid with 4539 1488 0343 6467 "
