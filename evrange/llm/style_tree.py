@@ -45,8 +45,10 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
              "option": {"option"}}
 SCOPE = set("article aside body div dl footer form header html main nav ol section table td th ul".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*+)>", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+# A quote opens a value of any length, if it comes after "=" and is closed; any other is a character like the rest.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
+                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')|=)*+)>", re.S)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _NAME = re.compile(r"[a-z]+")
 
 

@@ -47,6 +47,20 @@ def test_markup_of_all_kinds(source, text):
     assert style_tree.Page(source).main_text(()) == text
 
 
+@pytest.mark.parametrize("n", [4000, 4001, 100_000])
+def test_long_attributes(n):
+    text = lambda source: style_tree.Page(source).main_text(())
+    assert text(f"<article><p>a<img src='data:{'A' * n}'>b</p><div data-x=\"{'> ' * n}\" class='menu'>m</div>c</article>d") == "ab c"
+    assert text(f"<article><p data-x='{{\"hidden\": \"<p class=nav hidden>{'x' * n}\"}}'>a</p></article>b") == "a"
+
+
+def test_unclosed_quotes():
+    text = lambda source: style_tree.Page(source).main_text(())
+    assert text("<p title=\"x>a</p><p>b") == "a b" and text("<p title='it's'>a<p class='menu'>m<p>b") == "a b"
+    assert text("<p title=\"a\">x<p 5\">y<p title='" + "z>" * 3) == "x y z>z>"
+    assert text("<p title='>" * 20_000).count("<") == 0
+
+
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "http://a.example/1", ARTICLE, "h", "u")], "page_id long, url string, html string, text string, c0 string")
     assert style_tree.main_texts(df).columns == ["page_id", "url", "text", "n_chars"]
