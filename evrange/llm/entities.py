@@ -32,8 +32,8 @@ _TITLED = re.compile(r"\b(%s)\b\.?[ \t]+(%s)(?:[ \t]+(%s))?" % ("|".join(GENDER_
 _FULL = re.compile(r"\b(%s)[ \t]+(%s)" % ("|".join(OF_GIVEN), _CAP))
 _EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63})*\.[^\W\d_]{2,24}")
 _SECRET = re.compile(r"\bAKIA[0-9A-Z]{16}\b"
-                     r"|(?i:\b(?:token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)([^\s\"'<>]{6,200})"
-                     r"|(?<![0-9A-Za-z])(?=[0-9A-Fa-f]{0,31}\d)[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])")
+                     r"|(?i:\b(?:token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)([^\s\"'<>]{6,})"
+                     r"|(?<![0-9A-Za-z])(?=[A-Fa-f]*[0-9])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])")
 _IP = re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _CARD = re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)")

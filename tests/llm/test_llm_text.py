@@ -144,6 +144,18 @@ def test_mentions_do_not_overlap():
         assert all(text[a:b] for a, b, *_ in found)
 
 
+def test_secrets_of_any_length():
+    rng = random.Random(8)
+    for n in (200, 201, 700, 100_000):
+        value = "".join(rng.choice("ABCxyz019_-") for _ in range(n - 1)) + "Q"
+        assert entities.mentions(f"token={value}. And on.") == [(6, 6 + n, "secret", value)]
+    for n in (32, 128, 129, 4096):
+        value = "a" * 40 * (n > 40) + "".join(rng.choice("0123456789abcdef") for _ in range(n - 41 * (n > 40))) + "7" * (n > 40)
+        assert entities.mentions(f"x {value} y") == [(2, 2 + n, "secret", value)]
+    long = "k" * 300
+    assert len({entities.surrogate(b"k", *entities.mentions(f"token={long}{e}")[0][2:], 0) for e in "ab"}) == 2
+
+
 # --- pseudo-likelihood
 
 def test_scores_are_sums_of_both_sided_predictions(spark):
