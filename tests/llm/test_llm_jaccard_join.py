@@ -1,0 +1,97 @@
+import random
+
+import numpy as np
+import pytest
+
+from evrange.llm import jaccard_join as jj
+from tests.llm.llm_cases import odd_documents
+
+
+def grams(text):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return frozenset()
+    return frozenset([tuple(w)] if len(w) < 3 else (tuple(w[i:i + 3]) for i in range(len(w) - 2)))
+
+
+def linked(a, b):
+    return bool(a) and bool(b) and 100 * len(a & b) >= 90 * len(a | b)
+
+
+def brute(rows):
+    found = [(i, grams(t)) for i, t in rows]
+    group = list(range(len(found)))
+    for x in range(len(found)):
+        for y in range(x):
+            if group[x] != group[y] and linked(found[x][1], found[y][1]):
+                old, new = group[x], group[y]
+                group = [new if g == old else g for g in group]
+    least = {}
+    for (i, _), g in zip(found, group):
+        if i is not None:
+            least[g] = min(i, least.get(g, i))
+    return sorted(((i, len(s), least.get(g)) for (i, s), g in zip(found, group)), key=repr)
+
+
+def corpus(seed, n):
+    """Texts with shared passages, chains of edits, and a large group of near copies."""
+    rng = random.Random(seed)
+    word = lambda: "w%d" % int(rng.paretovariate(.6) % 3000)
+    passage = [word() for _ in range(50)]
+    base = [word() for _ in range(120)]
+    texts = []
+    for i in range(n):
+        kind = rng.random()
+        if kind < .3:
+            t = list(base)
+            for _ in range(rng.randint(0, 3)):
+                t[rng.randrange(len(t))] = word()
+        elif kind < .5 and texts:
+            t = rng.choice(texts).split()
+            for _ in range(rng.randint(0, 2)):
+                t.insert(rng.randrange(len(t) + 1), word())
+        else:
+            t = [word() for _ in range(rng.choice((1, 2, 3, 5, 12, 40, 90)))]
+            if rng.random() < .4:
+                t += passage
+        texts.append(" ".join(t))
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("block", [1024, 6])
+def test_as_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(jj, "BLOCK", block)
+    rows = corpus(block, 350)
+    got = jj.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(map(tuple, got.collect()), key=repr) == brute(rows)
+
+
+def test_odd_documents(spark):
+    docs = odd_documents(spark)
+    got = jj.jaccard_join(docs)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert jj.jaccard_join(docs.where("false")).count() == 0
+
+
+def test_overlaps_sparse_and_dense():
+    rng = np.random.default_rng(2)
+    members = [np.unique(rng.integers(0, 400, rng.integers(1, 200))).astype(np.uint64) for _ in range(60)]
+    got = jj.overlaps(members)
+    for i in range(60):
+        for j in range(60):
+            if i != j:
+                assert got[i, j] == len(np.intersect1d(members[i], members[j]))
+
+
+def test_leading_columns_share_enough():
+    rng = random.Random(7)
+    for _ in range(300):
+        n = rng.randint(1, 300)
+        a = set(range(n))
+        b = (a - set(rng.sample(sorted(a), n // 20))) | set(range(1000, 1000 + rng.randint(0, n // 25)))
+        if not 100 * len(a & b) >= 90 * len(a | b):
+            continue
+        order = {x: rng.random() for x in a | b}
+        (p, l), (q, m) = jj.leading(len(a)), jj.leading(len(b))
+        first = lambda s, k: set(sorted(s, key=order.get)[:k])
+        assert len(first(a, p) & first(b, q)) >= min(l, m)
