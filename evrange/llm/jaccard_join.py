@@ -21,35 +21,51 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from evrange.llm import components
 from evrange.llm.common import col, partitions, staged
 
 SHINGLE, LIKENESS = 3, (9, 10)     # words of an n-gram; overlap / union that links
-SMALL = 8                          # rows of a leading column up to which its pairs are counted
+SMALL = 32                         # rows of a leading column up to which its pairs are counted
 BLOCK = 1024                       # rows of a block
 #: Counters of n-grams. Their sums order the columns: any fixed order is right, rare first is fast.
-COUNTERS, _CHUNK = 1 << 20, 1 << 14
+COUNTERS, _CHUNK = 1 << 22, 1 << 16
 _FEW = 32                          # columns of a block with more rows are multiplied densely
 
 
 # --- sets
 
+class _Hashes(dict):
+    """Word hashes as they are met; as many are held as fit a few megabytes."""
+
+    def __missing__(self, word):
+        import xxhash
+        if len(self) >= 100_000:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_hashes = _Hashes()
+#: Odd multipliers that tell the places of a shingle apart, and the finalizer of splitmix64 (fixed values).
+_PLACES = 0x9E3779B97F4A7C15
+_MIX = ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB))
+
+
 def shingles(text: str | None, n: int) -> np.ndarray:
     """The distinct n-grams as ascending 64-bit hashes; with fewer words the whole sequence."""
-    import xxhash
     words = (text or "").encode().lower().split()
     if not words:
         return np.empty(0, np.uint64)
-    digest = xxhash.xxh3_64_intdigest
-    if len(words) < n:
-        return np.array([digest(b" ".join(words), len(words))], np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    spans = zip(starts[:len(words) - n + 1].tolist(), ends[n - 1:].tolist())
-    return np.unique(np.fromiter((digest(joined[a:b], n) for a, b in spans), np.uint64, len(words) - n + 1))
+    each = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    k = min(n, len(words))
+    total = np.full(len(words) - k + 1, k, np.uint64)
+    for i in range(k):
+        total = (total + each[i:len(words) - k + 1 + i]) * np.uint64(_PLACES)
+        for shift, factor in _MIX:
+            total = (total ^ (total >> np.uint64(shift))) * np.uint64(factor)
+    return np.unique(total ^ (total >> np.uint64(31)))
 
 
 def digest(members: np.ndarray) -> bytes:
@@ -90,7 +106,7 @@ def _count_chunks(rows: DataFrame) -> DataFrame:
 def histogram(values, kind: str) -> np.ndarray:
     """Counts of hashes modulo COUNTERS over all rows of `values`; `kind`: 'text' or 'hash'.
 
-    4 MB whatever the corpus; every task sends its own counts, packed.
+    16 MB whatever the corpus; every task sends its own counts, packed.
     """
     def run(batches):
         import zlib
