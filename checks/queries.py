@@ -305,7 +305,7 @@ def two_run_pairs(t):
 
 def _shared(spark):
     """The cluster's shared folder; where none is set, as in a test, one of this process."""
-    if spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None and spark.sparkContext.master.startswith("local"):
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
     return staging.shared_folder(spark)
 

@@ -2,9 +2,9 @@
 
 The rule tables are configuration. Up to MAX_COMPILED_DETAILS usable details they become
 plain CASE expressions, so the fact side needs no join and stays in generated code. Up to
-MAX_LOCAL_DETAILS they are broadcast as one array of bands per rule. Beyond that they
-are joined by shuffle, with the rows of each rule spread over SALTS tasks, since one rule
-may serve most rows.
+MAX_LOCAL_DETAILS they are broadcast as one array of bands per rule. Beyond that the bands
+become disjoint segments, which are merged with the facts by (rule, mileage) in one sorted
+stream, cut into slices where one rule serves many rows; no rule is an array anywhere.
 """
 
 from dataclasses import dataclass
@@ -15,18 +15,23 @@ from ..functions.bands import contains_sql, last_match, parse_band
 from ..functions.formula import case, finite_sql, rule_value, trees
 from ..functions.scalars import NOT_COMPUTED
 from .battery import default_rule_details, details_by_parent
+from .intervals import merge_by_time
+from .skew import SLICE_ROWS, find_slices
+from .sweep import position, winning_segments
 
 MAX_COMPILED_DETAILS = 12  # more would exceed the size of a method the JVM compiles
 MAX_LOCAL_DETAILS = 10_000
-SALTS = 64
 
 _BAND = ("low_symbol", "low", "high_symbol", "high")
+_FOUND = ("detail_id", "detail_rule", "rule_broken")
 
 
 @dataclass(frozen=True)
 class Rulebook:
     """`rules`: rule_id, broken, details. `texts`: the distinct formulas if the book is local.
 
+    `segments`: the disjoint segments of a book that is not local.
+
     `details`: rows (rule_id, id, soc_rule, band...) if there are few enough to compile.
     `broken` marks a rule with a detail that lacks its interval text.
     """
@@ -35,33 +40,47 @@ class Rulebook:
     texts: list = None
     details: list = None
     broken: list = None
+    segments: DataFrame = None
 
     @property
     def any_broken(self) -> bool:
         return self.broken is None or bool(self.broken)
 
-    def attach(self, pairs: DataFrame, rule_id: str, mileage: str, spread_by: str) -> DataFrame:
+    def attach(self, pairs: DataFrame, rule_id: str, mileage: str, spread_by: str,
+               slice_rows: int = SLICE_ROWS) -> DataFrame:
         """Add `detail_id`, `detail_rule` and `rule_broken` for each row's rule and mileage.
 
         Bands of one rule may overlap; the detail with the highest id wins.
         """
         if self.details is not None:
             return self._attach_compiled(pairs, rule_id, mileage)
+        if self.segments is not None:
+            return self._attach_merged(pairs, rule_id, mileage, spread_by, slice_rows)
         book = self.rules.withColumnRenamed("rule_id", "__rule")
-        pairs = pairs.withColumn("__rule", F.col(rule_id))
-        if self.texts is not None:
-            joined = pairs.join(F.broadcast(book), "__rule", "left")
-        else:
-            copies = book.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-            joined = (pairs.withColumn("__salt", salt)
-                      .join(copies, ["__rule", "__salt"], "left").drop("__salt"))
+        joined = pairs.withColumn("__rule", F.col(rule_id)).join(F.broadcast(book), "__rule", "left")
         return (joined.withColumn("__detail", last_match(F.col("details"), F.col(mileage)))
                 .select("*", F.col("__detail.id").alias("detail_id"),
                         F.col("__detail.soc_rule").alias("detail_rule"),
                         F.coalesce("broken", F.lit(False)).alias("rule_broken"))
                 .drop("__rule", "__detail", "details", "broken"))
 
+    def _attach_merged(self, pairs, rule_id, mileage, spread_by, slice_rows):
+        """Segments and facts in one stream by (rule, mileage): the last segment begun, if not over.
+
+        Facts without a rule match nothing; they are dealt over keys that no rule has.
+        """
+        spread = F.xxhash64(spread_by)
+        none = -(F.lit(1 << 40) + F.pmod(spread, F.lit(1 << 20)))
+        facts = pairs.select(F.struct(*pairs.columns).alias("__row"), F.col(mileage).cast("double").alias("__x"),
+                             F.coalesce(F.col(rule_id).cast("long"), none).alias("__rule"), spread.alias("__spread"))
+        facts = facts.selectExpr("__row", "__rule", "__spread", f"{position('__x')} AS __at", "1 AS __kind")
+        slices = find_slices(facts, "__rule", ("__at", "__kind", "__spread"), slice_rows)
+        parts = self.segments.select(F.col("rule_id").cast("long").alias("__rule"), F.col("low").alias("__low"),
+                                     F.col("high").alias("__high"), *_FOUND)
+        merged = merge_by_time(slices.tag(facts), parts, slices, _FOUND)
+        found = [F.col(f"matched.{c}").alias(c) for c in _FOUND[:2]]
+        return merged.select("__row.*", *found, F.coalesce("matched.rule_broken", F.lit(False)).alias("rule_broken"))
+
     def _attach_compiled(self, pairs, rule_id, mileage):
         """The search through bands and rules as one CASE expression, highest id first."""
         highest_first = sorted(self.details, key=lambda d: d["id"], reverse=True)
@@ -113,6 +132,9 @@ def load(soc_rule: DataFrame, soc_rule_detail: DataFrame,
             broken = sorted({d["rule_id"] for d in local if d["usable"] is None})
             return Rulebook(None, texts, details, broken)
         rows = rows.sparkSession.createDataFrame(found, rows.schema)
+    else:
+        bands = rows.where("usable").select("rule_id", "id", "soc_rule", *_BAND)
+        return Rulebook(None, segments=winning_segments(bands, rows.where("usable IS NULL")))
     rules = (details_by_parent(rows.withColumnRenamed("rule_id", "parent_id"))
              .select(F.col("parent_id").alias("rule_id"),
                      F.exists("details", lambda d: d["band"]["usable"].isNull()).alias("broken"),
