@@ -136,14 +136,18 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, text: str = "text
 
     def run(batches):
         codec = _codec(model, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(place).to_pylist()]
-            for a, b in pretokens.blocks(texts):
-                raw = codec.encode(texts[a:b])
-                columns = [*batch.slice(a, b - a).columns, pa.array(raw, pa.binary())]
-                if decoded:
-                    columns.append(pa.array([codec.decode(r) for r in raw], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(place).to_pylist()]
+                for a, b in pretokens.blocks(texts):
+                    raw = codec.encode(texts[a:b])
+                    columns = [*batch.slice(a, b - a).columns, pa.array(raw, pa.binary())]
+                    if decoded:
+                        columns.append(pa.array([codec.decode(r) for r in raw], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            # the worker goes on to other operators, which need the memory
+            codec.table.known.clear()
 
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema))
     return safe.mapInArrow(run, kinds).toDF(*schema.names)

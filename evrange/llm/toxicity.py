@@ -208,7 +208,7 @@ def _count(sample: DataFrame, wanted=None) -> DataFrame:
                     seen &= wanted.value
                 for f in seen:
                     total[f] = total.get(f, 0) + 1
-            if len(total) > 1_000_000:
+            if len(total) > 100_000:
                 yield pa.RecordBatch.from_pydict({"feature": list(total), "n": list(total.values())})
                 total = {}
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64())], ["feature", "n"])
