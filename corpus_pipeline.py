@@ -7,7 +7,7 @@ rewrites texts; the columns are those of `documents`, only the last stage adds t
 import public_tokenizers
 
 from evrange.llm import byte_bpe, decontamination, simhash, surrogates, toxicity
-from evrange.llm.common import read
+from evrange.llm.common import read, staged
 from evrange.llm.queries import KEY, SHINGLE, SIMHASH_BITS
 
 
@@ -47,8 +47,9 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """Every stage in turn over the documents of `sf_dir`."""
+    """Every stage in turn over the documents of `sf_dir`, each written once for the next."""
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    *before, (_, last) = STAGES
+    for _, stage in before:
+        docs = staged(stage(spark, docs, sf_dir))
+    return last(spark, docs, sf_dir)
