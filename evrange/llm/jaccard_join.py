@@ -30,7 +30,7 @@ SHINGLE, LIKENESS = 3, (9, 10)     # words of an n-gram; overlap / union that li
 SMALL = 32                         # rows of a leading column up to which its pairs are counted
 BLOCK = 1024                       # rows of a block
 #: Counters of n-grams. Their sums order the columns: any fixed order is right, rare first is fast.
-COUNTERS, _CHUNK = 1 << 22, 1 << 16
+COUNTERS, _CHUNK = 1 << 21, 1 << 16
 _FEW = 32                          # columns of a block with more rows are multiplied densely
 
 
@@ -106,7 +106,7 @@ def _count_chunks(rows: DataFrame) -> DataFrame:
 def histogram(values, kind: str) -> np.ndarray:
     """Counts of hashes modulo COUNTERS over all rows of `values`; `kind`: 'text' or 'hash'.
 
-    16 MB whatever the corpus; every task sends its own counts, packed.
+    8 MB whatever the corpus; every task sends its own counts, packed.
     """
     def run(batches):
         import zlib
@@ -161,7 +161,7 @@ def _leading_rows(docs: DataFrame, text: str, order) -> DataFrame:
                 seen.add(name)
                 p, _ = leading(n)
                 common = counts[(members % np.uint64(COUNTERS)).astype(np.int64)]
-                keys.append(members[np.lexsort((members, common))[:p]])
+                keys.append(members[np.argsort(common, kind="stable")[:p]])
                 sizes.append(n)
                 names.append(group_key(name))
             each = list(map(len, keys))
