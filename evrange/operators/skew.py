@@ -72,6 +72,14 @@ class Slices:
                 .withColumn(SLICE, F.when(F.col(_CUTS).isNull(), 0).otherwise(number))
                 .drop(_CUTS))
 
+    def tag_all(self, df: DataFrame) -> DataFrame:
+        """Repeat each row, at most one per key, for every slice of its key."""
+        if not self.hot:
+            return df
+        every = F.when(F.col(_CUTS).isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.size(_CUTS)))
+        return (df.join(F.broadcast(self.cuts), self.key, "left")
+                .withColumn(SLICE, F.explode(every)).drop(_CUTS))
+
     def heads(self, df: DataFrame, within=()) -> DataFrame:
         """The first row of every slice but a key's first: the rows at the cuts.
 

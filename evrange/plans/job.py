@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scalars import epoch_us
 from ..operators import rulebook as rules
-from ..operators.average import with_average
+from ..operators.average import carried_state, with_average
 from ..operators.battery import battery_dimension, battery_parts
 from ..operators.intervals import match_rows, merge_by_time
 from ..operators.metrics import (REAR_COLUMNS, good_sessions, pair_fields, refuse,
@@ -14,6 +14,7 @@ from ..operators.metrics import (REAR_COLUMNS, good_sessions, pair_fields, refus
 from ..operators.pairing import SESSION_ORDER, across_cuts, with_successor
 from ..operators.skew import SLICE, SLICE_ROWS, Slices, expand_copies, spread
 from ..schemas import PAIR_COLUMNS, SESSION
+from ..sources.staging import written_once
 
 SESSION_COLUMNS = SESSION.fieldNames()
 
@@ -40,17 +41,18 @@ METRIC_PAYLOAD = ("electric_quantity", "rule_id")
 
 def matched_pairs(facts: DataFrame, parts: DataFrame, slices: Slices, within=(),
                   payload=METRIC_PAYLOAD, book: rules.Rulebook = None,
-                  heads: DataFrame = None) -> DataFrame:
+                  heads: DataFrame = None, carried: DataFrame = None) -> DataFrame:
     """Adjacent sessions; `matched` is the battery at the front's start, `rear` the next session.
 
     `rear.quantity` is the rated quantity of the battery at the rear's own start time.
     With a rulebook the front's calibration is added: its detail and `real_start_soc`.
-    `heads` are the rows at the cuts of `slices`, if any key is hot.
+    `heads` are the rows at the cuts of `slices`, if any key is hot. `carried` is a value per
+    vehicle, see `merge_by_time`.
     """
     value = F.struct(*REAR_COLUMNS, F.col("matched.electric_quantity").alias("quantity"))
     if slices.hot:
         heads = across_cuts(match_rows(heads, parts, slices, payload, within), slices, value, within)
-    rows = merge_by_time(slices.tag(facts), parts, slices, payload)
+    rows = merge_by_time(slices.tag(facts), parts, slices, payload, carried)
     if book is not None:
         # here rather than after the pairing, which keeps both generated methods small
         rows = book.attach(rows, "matched.rule_id", "mileage", "id")
@@ -74,11 +76,13 @@ def measured_pairs(pairs: DataFrame, book: rules.Rulebook, on_bad_row: str = "fa
 
 def scored_pairs(sessions: DataFrame, tables: Tables, day: str = None, state: DataFrame = None,
                  mode: str = "seed", span: str = "all", on_bad_row: str = "fail",
-                 conf_fallback: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
+                 conf_fallback: bool = False, slice_rows: int = SLICE_ROWS, through=written_once) -> DataFrame:
     """Every pair with session columns, metrics, average and the state flags.
 
     `day` restricts the battery periods to those overlapping one day, as a daily run does;
     None keeps all, as a backfill needs. `span="day"` pairs within a `sample_date` only.
+    Vehicles of more than about `slice_rows` sessions are cut into slices; their pairs, and
+    only theirs, are written by `through` before the result is built.
     """
     if span not in ("all", "day"):
         raise ValueError(f"span must be 'all' or 'day', not {span!r}")
@@ -89,19 +93,23 @@ def scored_pairs(sessions: DataFrame, tables: Tables, day: str = None, state: Da
         sessions = good_sessions(sessions)
     facts = on_time_axis(sessions, within)
     facts, slices = spread(facts, "vin", SESSION_ORDER, slice_rows)
-    heads = slices.heads(facts, within) if slices.hot else None
     dimension = battery_dimension(tables.history, tables.conf, tables.soc_rule, day, conf_fallback)
     parts = battery_parts(dimension, slice_rows)
     book = rules.load(tables.soc_rule, tables.soc_rule_detail)
-
-    def measure(rows):
-        pairs = matched_pairs(rows, parts, slices, within, book=book, heads=heads)
-        return measured_pairs(pairs, book, on_bad_row)
-
-    # a hot vehicle's slices inherit sums, for which its pairs are measured once more
-    hot_pairs = measure(slices.only_hot(facts)) if slices.hot else None
-    scored = with_average(measure(facts), slices, slices.order, state, mode, hot_pairs)
-    return expand_copies(scored, SESSION_ORDER).drop(SLICE)
+    carried = None if state is None else carried_state(state, mode)
+
+    def score(facts, parts, carried, slices):
+        heads = slices.heads(facts, within) if slices.hot else None
+        pairs = matched_pairs(facts, parts, slices, within, book=book, heads=heads, carried=carried)
+        return with_average(measured_pairs(pairs, book, on_bad_row), slices, slices.order, mode, through)
+
+    if not slices.hot:
+        return score(facts, parts, carried, slices)
+    # apart, so that only hot vehicles pay for slices
+    narrowed = lambda keep: (keep(facts), keep(parts), None if carried is None else keep(carried))
+    hot = score(*narrowed(slices.only_hot), slices).drop(SLICE)
+    cold = score(*narrowed(slices.without_hot), Slices(slices.key, slices.order))
+    return expand_copies(cold.unionByName(hot), SESSION_ORDER)
 
 
 def result_columns(scored: DataFrame) -> DataFrame:

@@ -75,11 +75,40 @@ def test_hot_rows_leave_the_task_of_their_key(spark):
     assert re.search(r"Exchange hashpartitioning\(k#\d+, __slice#\d+", window[:window.index("SortMergeJoin")])
 
 
-def test_sliced_job_has_one_exchange_of_the_sessions(spark):
+def test_sliced_job_has_one_exchange_and_measures_hot_pairs_once(spark):
+    from evrange.plans.job import scored_pairs
+    from evrange.sources.staging import written_once
     from helpers import session
 
-    data = sessions(spark, [session(str(i), i, mileage=float(i)) for i in range(40)])
-    plan = _plan(endurance_pairs(data, tables(spark), slice_rows=10))
-    above = plan[:plan.index("Union")]
+    data = sessions(spark, [session(str(i), i, mileage=float(i)) for i in range(40)] + [session("x", 0, vin="cold")])
+    written = []
+
+    def through(pairs):
+        written.append(_plan(pairs))
+        return written_once(pairs)
+
+    plan = _plan(scored_pairs(data, tables(spark), slice_rows=10, through=through))
+    hot, = written
+    above = hot[:hot.index("Union")]
     assert len(re.findall(r"Exchange hashpartitioning\(vin#\d+, __slice#\d+", above)) == 1
     assert "Exchange hashpartitioning(vin" not in re.sub(r"hashpartitioning\(vin#\d+, __slice", "", above)
+    # what is left works on the written pairs, where no row carries cuts, and on the other vehicles
+    assert "__cuts" not in re.sub(r"BroadcastExchange[\s\S]*?LocalTableScan", "", plan).split("Union")[0]
+    assert "Exchange hashpartitioning(vin#" not in plan[plan.index("FileScan parquet"):].split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("mode", ["seed", "cumulative"])
+def test_resumed_run_has_one_exchange_and_one_sort_of_the_sessions(spark, mode):
+    """The state comes in the vehicle's own stream; nothing is joined to the sessions."""
+    from evrange.plans.job import scored_pairs
+    from evrange.schemas import AVG_STATE
+
+    state = spark.createDataFrame([("v", 5.0, 60.0, 30.0)], AVG_STATE)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(scored_pairs(sessions(spark, WORKED), tables(spark), state=state, mode=mode))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above = plan[:plan.index("Union")]
+    assert above.count("Exchange hashpartitioning(vin") == 1 and "Join" not in above
+    assert len(re.findall(r"\+- Sort|\*\(\d+\) Sort", above)) == 1 and above.count("Window [") == 3
