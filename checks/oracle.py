@@ -255,6 +255,7 @@ ORACLE = {
     "endurance_pairs_day": _job(within=", sample_date"),
     "session_pairs_sliced": f"{_pairs(', start_soc')} SELECT {_IDENTITY} FROM pairs",
     "two_run_pairs": _job(mode="cumulative"),
+    "late_run_pairs": _job(mode="cumulative"),
     "band_match_catalog": _BAND_MATCH,
     "band_match_catalog_shuffled": _BAND_MATCH,
     "rule_eval_catalog": f"""{_CATALOG_MATCH}
