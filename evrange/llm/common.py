@@ -28,13 +28,17 @@ def staged(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder and read back, so that its lineage ends there.
 
     The session's spark.checkpoint.dir decides the folder; only where it is unset and no
-    folder was given to the context is one made for this process.
+    folder was given to the context is one made for this process, and only with a local master.
     """
     session = df.sparkSession
     if session.sparkContext.getCheckpointDir() is None:
         import tempfile
-        session.sparkContext.setCheckpointDir(
-            session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = session.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not session.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        session.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
