@@ -59,7 +59,9 @@ def main():
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", MEMORY)
              .config("spark.sql.shuffle.partitions", PARTITIONS)
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", os.environ.get("BENCH_CHECKPOINTS") or tempfile.mkdtemp(prefix="bench-"))
+             .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     queries = {name: QUERIES[name] for name in HEADLINE}
     inputs = Inputs(spark, SF_DIR)
