@@ -1,6 +1,7 @@
 """Main text of pages; formatted conversations."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -38,6 +39,50 @@ def test_repeated_blocks_of_a_host_go_where_no_article_is_marked(spark, limit):
     assert [(r.pages, r.host) for r in importance if r.importance < style_tree.LEAST_IMPORTANCE] == [(12, "h.example")]
 
 
+def _neutral(i):
+    """A page whose markup names nothing; only what comes back tells the article from the rest."""
+    daily = "Nothing new today." if i != 7 else "Closed on Friday the thirteenth."
+    parts = "".join(f"<p>Part {k} of {i} says {i * 31 + k}, with reasons, examples and whatever else a reader of page {i} may like to know.</p>" for k in range(1 + i % 4))
+    return (f"<div class='qa'><p>First page</p><p>All pages</p></div><div class='qb'><p>{daily}</p></div>"
+            f"<div class='qc'><h1>Heading {i}</h1>{parts}<div class='qd'><p>Tell your friends.</p></div></div>"
+            f"<div class='qe'><p>Rights kept.</p></div>")
+
+
+def _neutral_article(i):
+    return " ".join([f"Heading {i}", *(f"Part {k} of {i} says {i * 31 + k}, with reasons, examples and whatever else a reader of page {i} may like to know." for k in range(1 + i % 4))])
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<article>{}</article>"])
+def test_tree_alone_gives_the_article(spark, wrap):
+    rows = [(i, f"http://h.example/{i}", wrap.format(_neutral(i))) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in style_tree.main_texts(df).collect()}
+    # the odd text of page 7 goes with its branch, though no other page has it; so it does in an article
+    assert texts == {i: _neutral_article(i) for i in range(40)}
+
+
+def test_importance_of_branches_is_their_entropy(spark):
+    pages = {i: _neutral(i) for i in range(40)}
+    df = spark.createDataFrame([(i, "http://h.example/", p) for i, p in pages.items()], "page_id long, url string, html string")
+    found = sorted(round(r.importance, 9) for r in style_tree.importance(df).collect() if r.content is None and r.pages == 40)
+    entropy = lambda values: -sum(n * math.log(n, 40) for n in (values.count(v) / 40 for v in set(values)))
+    g = style_tree.GAMMA
+    texts = {"qa": ["same"] * 40, "qb": [i == 7 for i in range(40)], "qc": list(range(40)), "qd": ["same"] * 40, "qe": ["same"] * 40}
+    # shapes do not vary, since a run of equal children counts as one
+    expected = [g * entropy(values) for values in texts.values()]
+    # the paragraphs below qa, qb, qd and qe, the heading and the paragraphs of the article, and the page
+    expected += [0, g * entropy(texts["qb"]), 0, 0, g, g, g]
+    assert found == pytest.approx(sorted(expected), abs=1e-6)
+
+
+def test_copies_within_a_host_keep_their_article(spark):
+    page = "<nav><a>m{0}</a></nav><article><h1>Own heading {0}</h1><p>A long text that was copied to all pages of this host.</p></article>"
+    rows = [(i, "http://h.example/", page.format(i % 5)) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in style_tree.main_texts(df).collect():
+        assert r.text == f"Own heading {r.page_id % 5} A long text that was copied to all pages of this host."
+
+
 @pytest.mark.parametrize("source, text", [
     ("<", "<"), ("a < b > c", "a < b > c"), ("<<<>>><p>a</i></b>", "<<<>>> a"), ("&amp", "&"), ("<article>", ""),
     ("<!-- open <p>a", ""), ("<p>a<script>x", "a"), ("<P CLASS='Menu'>m</P><P>b", "b"), ("<div hidden>h</div>v", "v"),
