@@ -7,8 +7,13 @@ therefore be cut there first, and what lies between two cuts looked up by its va
 
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _BORDER = re.compile(r"(?<=\S) ")
 _WIDE = re.compile(r"\s ")
+_WIDE_ARROW = r"[\t-\r\x1c-\x1f\x{85}\p{Z}] "      # the same, as Arrow writes it
 CACHED = 1_000_000      # entries of a worker's table; about 250 MB when it is full
 CACHED_CHARS = 48       # longer pieces are encoded each time they occur
 BATCH_CHARS = 4_000_000  # texts are taken together until they have this many characters
@@ -53,6 +58,46 @@ class Table:
         return [b"".join(parts) for parts in found]
 
 
+    def encode_distinct(self, texts, kind) -> list:
+        """As `encode`, with ids of the numpy type `kind`: the words of all texts are numbered by Arrow, and
+        only distinct ones looked up."""
+        column = pa.array(texts, pa.string())
+        wide = pc.match_substring_regex(column, _WIDE_ARROW).to_numpy(zero_copy_only=False)
+        slow = iter(self.encode([t for t, w in zip(texts, wide) if w]))
+        plain = column.filter(pa.array(~wide))
+        if not len(plain):
+            return list(slow)
+        lists = pc.split_pattern(plain, " ")
+        bounds = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.flatten()      # from the first bound on
+        bounds -= bounds[0]
+        coded = flat.dictionary_encode()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        # a text's first word has no space before it
+        words = [" " + w for w in coded.dictionary.to_pylist()]
+        firsts: dict = {}
+        codes[bounds[:-1]] = [firsts.setdefault(w, len(words) + len(firsts)) for w in flat.take(pa.array(bounds[:-1])).to_pylist()]
+        pieces = words + list(firsts)
+        found = list(map(self.known.get, pieces))
+        new = [p for p, ids in zip(pieces, found) if ids is None and p]
+        if new:
+            made = dict(zip(new, self.encode_many(new)))
+            found = [ids if ids is not None else made.get(p, b"") for p, ids in zip(pieces, found)]
+            if len(self.known) + len(new) > (self.cached or CACHED):
+                self.known.clear()
+            self.known.update((p, ids) for p, ids in made.items() if len(p) <= CACHED_CHARS)
+        found = [ids or b"" for ids in found]
+        ids = np.frombuffer(b"".join(found), kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        starts = np.cumsum(sizes) - sizes
+        sizes, starts = sizes[codes], starts[codes]
+        ends = np.cumsum(sizes)
+        ids = ids[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1])].tobytes()
+        cuts = (np.concatenate(([0], ends))[bounds] * np.dtype(kind).itemsize).tolist()
+        quick = iter([ids[a:b] for a, b in zip(cuts, cuts[1:])])
+        return [next(slow) if w else next(quick) for w in wide]
+
+
 def blocks(texts):
     """(from, to) of stretches of `texts` with about BATCH_CHARS characters, one text at least."""
     start = size = 0

@@ -59,7 +59,7 @@ class Tokenizer:
         return [known[c] if c in known else self._ids(c).tobytes() for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.table.encode(texts)
+        return self.table.encode_distinct(texts, self.kind)
 
 
 def id_type(vocabulary: int) -> str:
