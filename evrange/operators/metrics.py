@@ -83,6 +83,12 @@ def good_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.where(~_any_missing())
 
 
+def refusals() -> list:
+    """Aggregates over sessions: their number, of them the refused ones, and how many lack which reading."""
+    return [F.count("*").alias("sessions"), F.count_if(_any_missing()).alias("refused"),
+            *[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED]]
+
+
 def _any_missing() -> Column:
     missing = F.lit(False)
     for c in REQUIRED:

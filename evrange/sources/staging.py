@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from . import folders
 
@@ -40,6 +40,16 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_counted(self, df: DataFrame, name: str, *aggregates):
+        """(`df` written through, the `aggregates` over it by name), in one pass.
+
+        The aggregates belong to the stage that writes, in which every partition counts once
+        however often a task was tried.
+        """
+        seen = Observation()
+        written = self.write_through(df.observe(seen, *aggregates), name)
+        return written, dict(seen.get)
+
 
 def written_once(df: DataFrame) -> DataFrame:
     """`df` written to a folder of its own beside the checkpoints and read back.
