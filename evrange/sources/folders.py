@@ -19,6 +19,12 @@ def names(spark: SparkSession, path: str) -> list:
     return sorted(found.getPath().getName() for found in files.listStatus(place))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    files, place = _at(spark, path)
+    files.create(place).close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     files, place = _at(spark, path)
     files.delete(place, True)

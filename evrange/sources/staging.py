@@ -1,6 +1,8 @@
 """Intermediate results written once to the cluster's shared folder."""
 
+import os
 import uuid
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, Observation
 
@@ -8,15 +10,30 @@ from . import folders
 
 
 def shared_folder(spark) -> str:
-    """The folder given to the context, else the one that spark.checkpoint.dir names."""
+    """The folder given to the context, else the one that spark.checkpoint.dir names.
+
+    On a cluster a path of the machine's own file system is taken if it is mounted on the executors too.
+    """
     folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    if not spark.sparkContext.master.startswith("local") and folders.scheme(spark, folder) == "file":
+    if not spark.sparkContext.master.startswith("local") and folders.scheme(spark, folder) == "file" \
+            and not _mounted(spark, folder):
         raise ValueError(f"{folder} is a folder of one machine; executors on others cannot reach it")
     return folder.rstrip("/")
 
 
+def _mounted(spark, folder: str) -> bool:
+    """Do tasks on the executors see a file that the driver puts into the folder?"""
+    marker = f"{folder}/seen-{uuid.uuid4().hex}"
+    path, tasks = unquote(urlparse(marker).path), max(2, int(spark.sparkContext.defaultParallelism))
+    folders.touch(spark, marker)
+    try:
+        return spark.sparkContext.parallelize(range(tasks), tasks).map(lambda _: os.path.exists(path)).collect() == [True] * tasks
+    finally:
+        folders.remove(spark, marker)
+
+
 class Staging:
     """A folder for the intermediate tables of one run; leaving the block deletes it.
 
