@@ -25,14 +25,13 @@ class InstTemplate:
     backslashes doubled, so that texts can be read back.
     """
 
-    #: What becomes of a turn depends on this many turns before it at most. A template that says
-    #: so is rendered over those alone; one that says nothing, over the whole conversation so far.
-    context = 32
-
     _special = re.compile(r"\\|<(?=/?s>)|\[(?=/?INST\]|/?ROLE)")
     _turn = re.compile(r"<s>\[INST\] (?P<user>.*) \[/INST\]|<s>\[ROLE (?P<role>(?:\\.|[^\\\]])*)\] (?P<other>.*) \[/ROLE\]"
                        r"| (?P<assistant>.*)</s>", re.S)
 
+    def __init__(self):
+        self._turns, self._before = [], ""      # the turns before the last one of those rendered lately, and their output
+
     def escape(self, text: str) -> str:
         return self._special.sub(lambda m: m[0] + "\\", text)
 
@@ -40,17 +39,23 @@ class InstTemplate:
         return re.sub(r"\\(\\?)", r"\1", text)
 
     def render(self, turns) -> str:
-        out = []
-        for role, text in turns:
-            text = self.escape(text)
-            if role == "user":
-                out.append(f"<s>[INST] {text} [/INST]")
-            elif role == "assistant":
-                out.append(f" {text}</s>")
-            else:
-                name = self.escape(role).replace("]", "\\]")
-                out.append(f"<s>[ROLE {name}] {text} [/ROLE]")
-        return "".join(out)
+        turns = list(turns)
+        if not turns:
+            return ""
+        *before, last = turns
+        known = len(self._turns) if before[:len(self._turns)] == self._turns else 0
+        self._before = (self._before if known else "") + "".join(map(self._one, before[known:]))
+        self._turns = before
+        return self._before + self._one(last)
+
+    def _one(self, turn) -> str:
+        role, text = turn[0], self.escape(turn[1])
+        if role == "user":
+            return f"<s>[INST] {text} [/INST]"
+        if role == "assistant":
+            return f" {text}</s>"
+        name = self.escape(role).replace("]", "\\]")
+        return f"<s>[ROLE {name}] {text} [/ROLE]"
 
     def parse(self, piece: str) -> tuple[str, str]:
         """The role and the text of one turn's output."""
@@ -65,18 +70,14 @@ class InstTemplate:
 
 
 class Renderer:
-    """One conversation, turn by turn: every prefix of it is rendered, unless the template has a `context`."""
+    """One conversation, turn by turn: every prefix of it is rendered."""
 
     def __init__(self, template):
         self.template, self.turns, self.before = template, [], ""
-        self.context = getattr(template, "context", None)
 
     def add(self, role: str, text: str) -> tuple[int, str, int, int]:
         """(characters of the output so far that are replaced, what comes in their place, where in
         that the text begins and ends - both -1 if it cannot be told)."""
-        if self.context is not None and len(self.turns) > self.context:
-            self.turns = self.turns[len(self.turns) - self.context:]
-            self.before = self.template.render(self.turns)
         after = self.template.render([*self.turns, (role, text)])
         kept = len(self.before)
         if not after.startswith(self.before):
@@ -107,9 +108,9 @@ def render(turns: DataFrame, template, conv_id: str = "conv_id", turn: str = "tu
     `loss_roles`. Turns are ordered by turn, ties by role and text, nulls first; repeated rows are
     turns like others. A null role or text counts as empty; turns without conv_id make up one
     conversation. A text of any length is formatted whole. A conversation is read as a stream by one
-    task, which holds the turns that the template may look back on: its `context`, or all of them
-    where it declares none, and then the work grows with the square of the conversation's length.
-    Other columns play no part; an empty table gives an empty table.
+    task, which holds its turns so far: the template gets all of them each time, so the work grows
+    with the square of the conversation's length. Other columns play no part; an empty table gives an
+    empty table.
     """
     rows = (turns.select(col(conv_id).cast("long").alias("c"), col(turn).alias("n"), F.coalesce(col(role), F.lit("")).alias("r"),
                          F.coalesce(col(text), F.lit("")).alias("t"))
