@@ -5,7 +5,10 @@ vectors for each place of the window, their sum through tanh, and a softmax over
 vocabulary. A document's score is the sum of the log-probabilities of all its tokens, each
 predicted from both sides.
 
-The vocabulary is the corpus's most frequent words, and buckets for the others. Training runs
+The network's vocabulary is the corpus's most frequent words, and buckets for the others. A word of
+a bucket has the probability of the bucket, times that of the word among the bucket's words, by how
+often the corpus has them: the KNOWN most frequent are at hand in every task, the others are joined.
+Training runs
 where the texts are: in every round each task starts from the same weights, learns from its
 share of the documents, and the weights are averaged by the number of tokens they were learned
 from. A document belongs to one round, and one in MASK_EVERY of its tokens is hidden there.
@@ -30,6 +33,8 @@ OUTSIDE = 0
 PLACES = 2 * WINDOW
 SIZE = 1 + WORDS + BUCKETS
 LARGEST = 60.0                  # logits that exp() takes as they are
+KNOWN = 100_000                 # words of buckets, at most, whose counts every task holds
+UNIT = 1e9                      # joined logarithms are summed as whole numbers of 1 / UNIT, in any order
 
 
 def bucket(word: str) -> int:
@@ -114,22 +119,34 @@ class Network:
 
 # --- texts as numbers
 
-def numbers(texts, ids: dict[str, int]):
+class Ids(dict):
+    """Ids of words. Of words that have none their bucket, which is held for some hundred thousand."""
+
+    def __missing__(self, word):
+        found = bucket(word)
+        if len(self) < 4 * KNOWN:
+            self[word] = found
+        return found
+
+
+def numbers(texts, ids: Ids, words: list = None):
     """(tokens of all texts with WINDOW outside tokens before, between and after; places of the
-    tokens; number of tokens of each text)."""
-    gap, get, sizes = [OUTSIDE] * WINDOW, ids.get, []
+    tokens; number of tokens of each text). The tokens themselves are appended to `words`."""
+    gap, get, sizes = [OUTSIDE] * WINDOW, ids.__getitem__, []
     flat = list(gap)
     for text in texts:
-        words = TOKEN.findall(text.lower())
-        flat += [get(w) or bucket(w) for w in words]
+        found = TOKEN.findall(text.lower())
+        flat += map(get, found)
         flat += gap
-        sizes.append(len(words))
+        sizes.append(len(found))
+        if words is not None:
+            words += found
     flat = np.array(flat, dtype=np.int64)
     return flat, np.flatnonzero(flat != OUTSIDE), np.array(sizes, dtype=np.int64)
 
 
-def frequent(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray]:
-    """The WORDS most frequent tokens, and the counts of all ids of their vocabulary, over all texts."""
+def counted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n): how often each token occurs in all texts; in lower case, null texts as empty."""
     def run(batches):
         total = Counter()
         for batch in batches:
@@ -140,13 +157,22 @@ def frequent(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray
                 total.clear()
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64())], ["word", "n"])
 
-    counted = docs.select(col(text).alias("t")).mapInArrow(run, "word string, n long")
-    counted = staged(counted.groupBy("word").agg(F.sum("n").alias("n")))
-    top = counted.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    place = (7 * F.ascii(F.substr("word", F.lit(-1))) + F.char_length("word")) % BUCKETS
+    found = docs.select(col(text).alias("t")).mapInArrow(run, "word string, n long")
+    return staged(found.groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def _bucket():
+    """As bucket(), from the column `word`."""
+    return 1 + WORDS + (7 * F.ascii(F.substr("word", F.lit(-1))) + F.char_length("word")) % BUCKETS
+
+
+def frequent(counts: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The WORDS most frequent tokens, and the counts of all ids of their vocabulary, of a table of counted()."""
+    table = counts
+    top = table.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     counts = np.zeros(SIZE)
-    for r in counted.groupBy(place.alias("bucket")).agg(F.sum("n").alias("n")).collect():
-        counts[1 + WORDS + r["bucket"]] = r["n"]
+    for r in table.groupBy(_bucket().alias("bucket")).agg(F.sum("n").alias("n")).collect():
+        counts[r["bucket"]] = r["n"]
     for i, r in enumerate(top):     # words of their own are not in the buckets
         counts[1 + i] = r["n"]
         counts[bucket(r["word"])] -= r["n"]
@@ -154,20 +180,38 @@ def frequent(docs: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray
 
 
 def _ids(words):
-    return {w: i + 1 for i, w in enumerate(words)}
+    return Ids((w, i + 1) for i, w in enumerate(words))
+
+
+def within_buckets(counts: DataFrame, words: list[str]) -> tuple[np.ndarray, pa.Table]:
+    """Of the words without an id of their own: a logarithm for each id, -log of the words of its bucket
+    (their occurrences, each word once more, and one for all that are not there), and (word, n) of
+    those at the top, at most KNOWN. A word's probability in its bucket is n + 1 to that sum."""
+    others = counts.where(~F.col("word").isin(words))
+    sums = np.zeros(SIZE)
+    for r in others.groupBy(_bucket().alias("bucket")).agg((F.sum("n") + F.count("*") + 1).alias("n")).collect():
+        sums[r["bucket"]] = -np.log(r["n"])
+    least, room = None, KNOWN
+    for r in others.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["n"]
+    return sums, others.where(F.col("n") >= least if least is not None else F.lit(False)).toArrow()
 
 
 # --- training and scoring
 
-def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
-    """The words of the vocabulary and the weights, learned from all texts.
+def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, counts: DataFrame = None) -> tuple[list[str], np.ndarray]:
+    """The words of the vocabulary and the weights, learned from all texts; `counts` is their table of
+    counted(), if there is one already.
 
     Every text takes part in one round, by its hash. Averages are summed by Spark, one row a weight
     reaches the driver. With other partitions of `docs` the weights differ slightly. An empty table
     gives the untrained network.
     """
-    words, counts = frequent(docs, text)
-    weights = Network.fresh(counts).flat
+    words, of_ids = frequent(counted(docs, text) if counts is None else counts)
+    weights = Network.fresh(of_ids).flat
     spark = docs.sparkSession
     table = docs.select(col(text).alias("t")).where("t IS NOT NULL")
     for number in range(rounds):
@@ -196,28 +240,49 @@ def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS) -> tuple[li
     return words, weights
 
 
-def score(docs: DataFrame, words: list[str], weights: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: list[str], weights: np.ndarray, keep: list[str], text: str = "text", counts: DataFrame = None) -> DataFrame:
     """The `keep` columns of every row, n_tokens, log_likelihood (natural, the sum over all tokens) and
     mean_log_likelihood. Texts without tokens, also null, have 0, 0 and null. Repeated rows have equal
-    scores; other columns play no part."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, weights))
+    scores; other columns play no part. `counts` is the table of counted() of the corpus; without one,
+    `docs` are the corpus. A word that the corpus has not is as likely as one that is met for the first time."""
+    if counts is None:
+        counts = counted(docs, text)
+    sums, known = within_buckets(counts, words)
+    shared = docs.sparkSession.sparkContext.broadcast((words, weights, sums, known))
     names = [f"c{i}" for i in range(len(keep))]
     table = docs.select(*(col(k).alias(n) for k, n in zip(keep, names)), col(text).alias("t"))
     schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in table.schema[:len(keep)]]
-                       + ["n_tokens long", "log_likelihood double"])
+                       + ["n_tokens long", "near double", "others array<string>"])
 
     def run(batches):
-        known, network = _ids(shared.value[0]), Network(shared.value[1], SIZE)
+        own, weights, sums, known = shared.value
+        ids, network = _ids(own), Network(weights, SIZE)
+        listed = known["word"].to_pylist()
+        # ids from SIZE on are words of a bucket at hand
+        buckets = np.array([*range(SIZE), *map(bucket, listed)])
+        logs_within = sums[buckets]
+        logs_within[SIZE:] += np.log(known["n"].to_numpy() + 1.0)
+        ids.update((w, SIZE + i) for i, w in enumerate(listed))
         for batch in batches:
             texts = [t or "" for t in batch.column(len(names)).to_pylist()]
             for a, b in pretokens.blocks(texts):
-                flat, at, sizes = numbers(texts[a:b], known)
-                logs = np.concatenate(([0.0], np.cumsum(network.log_probabilities(flat, at))))
-                ends = np.cumsum(sizes)
+                tokens = []
+                flat, at, sizes = numbers(texts[a:b], ids, tokens)
+                own_ids = flat[at]
+                each = network.log_probabilities(buckets[flat], at) + logs_within[own_ids]
+                logs, ends = np.concatenate(([0.0], np.cumsum(each))), np.cumsum(sizes)
+                unknown = np.flatnonzero((own_ids > WORDS) & (own_ids < SIZE))
+                others = pa.ListArray.from_arrays(pa.array(np.searchsorted(unknown, np.concatenate(([0], ends))), pa.int32()),
+                                                  pa.array([tokens[i] for i in unknown.tolist()], pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(a, b - a) for c in batch.columns[:len(names)]), pa.array(sizes), pa.array(logs[ends] - logs[ends - sizes])],
-                    [*names, "n_tokens", "log_likelihood"])
-
-    scored = table.mapInArrow(run, schema)
+                    [*(c.slice(a, b - a) for c in batch.columns[:len(names)]), pa.array(sizes), pa.array(logs[ends] - logs[ends - sizes]), others],
+                    [*names, "n_tokens", "near", "others"])
+
+    scored = staged(table.mapInArrow(run, schema)).withColumn("row", F.monotonically_increasing_id())
+    part = F.round(F.log(F.col("n") + 1.0) * UNIT).cast("long")
+    joined = (scored.select("row", F.explode("others").alias("word")).join(counts, "word")
+              .groupBy("row").agg((F.sum(part) / UNIT).alias("far")))
+    scored = (scored.drop("others").join(joined, "row", "left")
+              .withColumn("log_likelihood", F.col("near") + F.coalesce("far", F.lit(0.0))))
     return scored.select(*(F.col(n).alias(k) for n, k in zip(names, keep)), "n_tokens", "log_likelihood",
                          F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_likelihood"))

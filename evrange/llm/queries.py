@@ -37,7 +37,8 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return pseudo_lm.score(docs, *pseudo_lm.train(docs), keep=["doc_id"])
+    counts = pseudo_lm.counted(docs)
+    return pseudo_lm.score(docs, *pseudo_lm.train(docs, counts=counts), keep=["doc_id"], counts=counts)
 
 
 def op6_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,6 +228,32 @@ def test_scores_are_sums_of_both_sided_predictions(spark):
     assert in_order[3].log_likelihood == pytest.approx(total, abs=1e-2) and in_order[3].n_tokens == 60
 
 
+@pytest.mark.parametrize("known", [0, 40, 100_000])
+def test_words_of_a_bucket_have_their_own_probability(spark, monkeypatch, known):
+    monkeypatch.setattr(pseudo_lm, "KNOWN", known)
+    rng = random.Random(3)
+    names = [f"w{i:03d}x" for i in range(400)]
+    texts = [" ".join(rng.choices(names, [1 + i // 4 for i in range(400)], k=50)) for _ in range(60)] + [None, "", "unmet9x w001x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    corpus = docs.where("doc_id < 62")
+    counts = pseudo_lm.counted(corpus)
+    words, weights = pseudo_lm.train(corpus, rounds=1, counts=counts)
+    rows = {r.doc_id: r for r in pseudo_lm.score(docs, words, weights, ["doc_id"], counts=counts).collect()}
+    n = {r.word: r.n for r in counts.collect()}
+    rest = {w: c for w, c in n.items() if w not in words}
+    assert len(rest) > 100
+    net, ids = pseudo_lm.Network(weights, pseudo_lm.SIZE), {w: i + 1 for i, w in enumerate(words)}
+    for i, t in enumerate(texts):
+        said = (t or "").split()
+        flat = np.array([0, 0, *(ids.get(w) or pseudo_lm.bucket(w) for w in said), 0, 0])
+        total = net.log_probabilities(flat, np.arange(2, 2 + len(said))).astype(float).sum()
+        for w in said:
+            if w not in ids:
+                others = [c for v, c in rest.items() if pseudo_lm.bucket(v) == pseudo_lm.bucket(w)]
+                total += np.log((rest.get(w, 0) + 1) / (sum(others) + len(others) + 1))
+        assert rows[i].log_likelihood == pytest.approx(total, abs=1e-3) and rows[i].n_tokens == len(said)
+
+
 def test_slopes_are_those_of_the_likelihood():
     rng = np.random.default_rng(5)
     net = pseudo_lm.Network.fresh(rng.integers(1, 50, pseudo_lm.SIZE).astype(float))
