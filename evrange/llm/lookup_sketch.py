@@ -30,15 +30,15 @@ def _zero(row: int) -> str:
 
 
 def _cells(row: int) -> str:
-    """Where a digest goes: for each cell the shift that brings its row's bits down, and the value there."""
+    """Where a digest goes: for each cell the mask of its row's bits, and their value there."""
     bits = row.bit_length() - 1
-    return "array(" + ", ".join(f"named_struct('s', {64 - bits * j}, 'v', {v}L)" for j in (1, 2, 3) for v in range(row)) + ")"
+    at = lambda value, j: f"shiftleft({value}L, {64 - bits * j})"
+    return "array(" + ", ".join(f"named_struct('m', {at(row - 1, j)}, 'v', {at(v, j)})" for j in (1, 2, 3) for v in range(row)) + ")"
 
 
 def _sketch(digests: str, row: int) -> str:
     """The cells of an array of digests."""
-    return (f"transform({_cells(row)}, w -> aggregate({digests}, 0L, "
-            f"(x, d) -> if((shiftrightunsigned(d, w.s) & {row - 1}L) = w.v, x ^ d, x)))")
+    return f"transform({_cells(row)}, w -> aggregate({digests}, 0L, (x, d) -> if((d & w.m) = w.v, x ^ d, x)))"
 
 
 def _peeled(a: str, b: str, row: int) -> str:
