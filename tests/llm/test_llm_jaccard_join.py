@@ -95,3 +95,13 @@ def test_leading_columns_share_enough():
         (p, l), (q, m) = jj.leading(len(a)), jj.leading(len(b))
         first = lambda s, k: set(sorted(s, key=order.get)[:k])
         assert len(first(a, p) & first(b, q)) >= min(l, m)
+
+
+def test_no_round_follows_once_all_are_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(jj.components, "staged", lambda df, real=jj.components.staged: written.append(df) or real(df))
+    stars = spark.createDataFrame([(5, 1), (1, 6), (8, 7), (3, 3), (None, 2)], "a long, b long")
+    assert sorted(map(tuple, jj.components.stars(stars).collect())) == [(5, 1), (6, 1), (8, 7)]
+    assert len(written) == 1
+    chain = spark.range(40).selectExpr("id AS a", "id + 1 AS b")
+    assert sorted(map(tuple, jj.components.stars(chain).collect())) == [(i, 0) for i in range(1, 41)]
