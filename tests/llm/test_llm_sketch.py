@@ -74,3 +74,9 @@ def test_next_of_many_rows(spark):
 def test_no_python(spark):
     plan = lookup_sketch.compare_with_edit(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "SinglePartition" not in plan
+
+
+def test_differences_are_evaluated_once(spark):
+    df = spark.createDataFrame([([1], [2])], "a array<bigint>, b array<bigint>").repartition(2)
+    plan = df.select(lookup_sketch.likeness("a", "b", 5).alias("l"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_except") == 2      # those of a to b and of b to a
