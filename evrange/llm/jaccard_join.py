@@ -103,8 +103,8 @@ def _count_chunks(rows: DataFrame) -> DataFrame:
     return rows.repartition("chunk").mapInArrow(merge, "chunk int, counts binary")
 
 
-def histogram(values, kind: str) -> np.ndarray:
-    """Counts of hashes modulo COUNTERS over all rows of `values`; `kind`: 'text' or 'hash'.
+def histogram(values: DataFrame) -> np.ndarray:
+    """Counts of hashes modulo COUNTERS over all rows of `values`, hashes or arrays of them as bytes.
 
     8 MB whatever the corpus; every task sends its own counts, packed.
     """
@@ -112,10 +112,10 @@ def histogram(values, kind: str) -> np.ndarray:
         import zlib
         counts = np.zeros(COUNTERS, np.uint32)
         for batch in batches:
-            if kind == "hash":
-                here = [np.asarray(batch.column(0)).view(np.uint64)] if batch.num_rows else []
+            if pa.types.is_binary(batch.schema.types[0]):
+                here = (np.frombuffer(m.as_py(), np.uint64) for m in batch.column(0))
             else:
-                here = (shingles(t.as_py(), SHINGLE) for t in batch.column(0))
+                here = [np.asarray(batch.column(0)).view(np.uint64)] if batch.num_rows else []
             for h in here:
                 np.add.at(counts, (h % np.uint64(COUNTERS)).astype(np.int64), np.uint32(1))
         for c in range(COUNTERS // _CHUNK):
@@ -131,7 +131,8 @@ def histogram(values, kind: str) -> np.ndarray:
 
 
 def sets(docs: DataFrame, keep, text: str) -> DataFrame:
-    """(k, n, digest, c): the kept column, the size, digest and short name of each row's set."""
+    """(k, n, digest, c, members): the kept column, and of each row's set size, digest, short name, and
+    the hashes as bytes. All that follows reads them here; texts are cut once."""
     kind = docs.select(keep.alias("k")).schema["k"].dataType.simpleString()
 
     def run(batches):
@@ -140,36 +141,36 @@ def sets(docs: DataFrame, keep, text: str) -> DataFrame:
             digests = [digest(f) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(map(group_key, digests), pa.int64())], ["k", "n", "digest", "c"])
+                 pa.array(map(group_key, digests), pa.int64()), pa.array([f.tobytes() for f in found], pa.binary())],
+                ["k", "n", "digest", "c", "members"])
 
-    return docs.select(keep.alias("k"), col(text).alias("t")).mapInArrow(run, f"k {kind}, n long, digest binary, c long")
+    return docs.select(keep.alias("k"), col(text).alias("t")).mapInArrow(run, f"k {kind}, n long, digest binary, c long, members binary")
 
 
 # --- candidates
 
-def _leading_rows(docs: DataFrame, text: str, order) -> DataFrame:
+def _leading_rows(marked: DataFrame, order) -> DataFrame:
     """(key, n, c): every set under its leading columns, once a task."""
     def run(batches):
         counts, seen = order.value, set()
         for batch in batches:
             keys, sizes, names = [np.empty(0, np.uint64)], [0], [0]
-            for t in batch.column(0):
-                members = shingles(t.as_py(), SHINGLE)
-                n = len(members)
-                if not n or (name := digest(members)) in seen:
+            for name, c, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if name in seen:
                     continue
                 seen.add(name)
-                p, _ = leading(n)
+                members = np.frombuffer(m.as_py(), np.uint64)
+                p, _ = leading(len(members))
                 common = counts[(members % np.uint64(COUNTERS)).astype(np.int64)]
                 keys.append(members[np.argsort(common, kind="stable")[:p]])
-                sizes.append(n)
-                names.append(group_key(name))
+                sizes.append(len(members))
+                names.append(c)
             each = list(map(len, keys))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(np.array(sizes, np.int32), each)),
                  pa.array(np.repeat(np.array(names, np.int64), each))], ["key", "n", "c"])
 
-    return docs.select(col(text).alias("t")).mapInArrow(run, "key long, n int, c long")
+    return marked.where("n > 0").select("digest", "c", "members").mapInArrow(run, "key long, n int, c long")
 
 
 def _close(n, m) -> bool:
@@ -231,11 +232,11 @@ def _pair_batch(out):
                                        pa.array(l, pa.int32())], ["a", "b", "w", "need"])
 
 
-def candidates(docs: DataFrame, text: str) -> DataFrame:
+def candidates(marked: DataFrame) -> DataFrame:
     """(c, root): sets that may link to another, with the least name of their candidate group."""
-    spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(histogram(docs.select(col(text).alias("t")), "text"))
-    rows = (_leading_rows(docs, text, order).repartition(partitions(spark), "key")
+    spark = marked.sparkSession
+    order = spark.sparkContext.broadcast(histogram(marked.select("members")))
+    rows = (_leading_rows(marked, order).repartition(partitions(spark), "key")
             .sortWithinPartitions("key", "n", "c"))
     pairs = (rows.mapInArrow(_column_pairs, "a long, b long, w int, need int")
              .groupBy("a", "b").agg(F.sum("w").alias("w"), F.min("w").alias("chained"), F.max("need").alias("need")))
@@ -319,34 +320,32 @@ def _block_product(batches):
     yield packed(block_links(digests, members))
 
 
-def _active_sets(docs: DataFrame, text: str, active: DataFrame) -> DataFrame:
+def _active_sets(marked: DataFrame, active: DataFrame) -> DataFrame:
     """(c, digest, members) of the sets among the candidates, once a task (a few others may be there)."""
-    there = docs.sparkSession.sparkContext.broadcast(histogram(active.select("c"), "hash") > 0)
+    there = marked.sparkSession.sparkContext.broadcast(histogram(active.select("c")) > 0)
 
     def run(batches):
         seen, wanted = set(), there.value
         for batch in batches:
-            out = []
-            for t in batch.column(0):
-                found = shingles(t.as_py(), SHINGLE)
-                name = digest(found)
-                if len(found) and wanted[group_key(name) % (1 << 64) % COUNTERS] and name not in seen:
+            # unsigned, as they are counted
+            some = wanted[(np.asarray(batch.column(0)).view(np.uint64) % np.uint64(COUNTERS)).astype(np.int64)]
+            names, take = batch.column(1), []
+            for i in np.flatnonzero(some).tolist():
+                if (name := names[i].as_py()) not in seen:
                     seen.add(name)
-                    out.append((group_key(name), name, found.tobytes()))
-            c, d, m = zip(*out) if out else ((),) * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(d, pa.binary()), pa.array(m, pa.binary())],
-                                             ["c", "digest", "members"])
+                    take.append(i)
+            yield batch.take(pa.array(take, pa.int64()))
 
-    return docs.select(col(text).alias("t")).mapInArrow(run, "c long, digest binary, members binary")
+    return marked.where("n > 0").select("c", "digest", "members").mapInArrow(run, "c long, digest binary, members binary")
 
 
-def links(docs: DataFrame, text: str) -> DataFrame:
-    """(a, b): digests of linked sets, enough to connect all that links connect."""
-    spark = docs.sparkSession
-    active = candidates(docs, text)
+def links(marked: DataFrame) -> DataFrame:
+    """(a, b): digests of linked sets of a table of sets(), enough to connect all that links connect."""
+    spark = marked.sparkSession
+    active = candidates(marked)
     sizes = staged(active.groupBy("root").agg(F.count("*").alias("rows")))
     groups = active.join(sizes, "root")
-    rows = _active_sets(docs, text, active).join(groups, "c")
+    rows = _active_sets(marked, active).join(groups, "c")
     # a large block is cut by size, then by hash; sizes that may link are at most one band apart
     n = F.octet_length("members") / 8
     band = F.when(F.col("rows") > BLOCK, F.floor(F.log(n) / math.log(LIKENESS[1] / LIKENESS[0]) + 1e-9)).otherwise(0)
@@ -375,7 +374,7 @@ def jaccard_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     keep their rows; other columns play no part; an empty table gives an empty table.
     """
     marked = staged(sets(docs, col(doc_id), text))
-    roots = components.stars(staged(links(docs, text)))
+    roots = components.stars(staged(links(marked)))
     named = marked.where("n > 0").groupBy("digest").agg(F.min("k").alias("first"))
     placed = staged(named.join(roots, F.col("digest") == F.col("u"), "left")
                     .select("digest", "first", F.coalesce("v", "digest").alias("root")))
