@@ -36,9 +36,7 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    counts = pseudo_lm.counted(docs)
-    return pseudo_lm.score(docs, *pseudo_lm.train(docs, counts=counts), keep=["doc_id"], counts=counts)
+    return pseudo_lm.pseudo_likelihood(read(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def op6_lookup_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:

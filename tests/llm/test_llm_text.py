@@ -266,6 +266,45 @@ def test_slopes_are_those_of_the_likelihood():
     assert net.log_probabilities(flat, at).mean() > before + 0.3
 
 
+def test_windows_met_again_have_the_same_probability(monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "SLOTS", 64)     # many windows fall on one place
+    rng = np.random.default_rng(8)
+    net = pseudo_lm.Network.fresh(rng.integers(1, 50, pseudo_lm.SIZE).astype(float))
+    windows, asked = pseudo_lm.Windows(net), []
+    monkeypatch.setattr(net, "log_probabilities", lambda flat, at, real=net.log_probabilities: asked.append(len(at)) or real(flat, at))
+    for _ in range(3):
+        flat = np.concatenate(([0, 0], rng.integers(1, 4, 2000), [0, 0]))
+        at = np.arange(2, 2002)
+        assert windows.log_probabilities(flat, at) == pytest.approx(pseudo_lm.Network.log_probabilities(net, flat, at), abs=1e-6)
+    assert sum(asked) < 5500 and len(windows.log_probabilities(flat, at[:0])) == 0
+
+
+def test_pieces_between_white_space_are_cut_as_whole_texts(monkeypatch):
+    monkeypatch.setattr(pseudo_lm, "KNOWN", 1)      # forgets between calls
+    whole = re.compile(pseudo_lm.TOKEN)
+    pieces = pseudo_lm.Pieces(pseudo_lm._ids(["the", ","]))
+    for texts in (["The cat, the_dog", "", " \t\n", "a"], ["\u0391\u03a3 \u0391\u03a3. \u03a3\x1cx\x85y\u3000z", "the\u200bend!!", "\u0130x"], []):
+        ids, sizes, source = pseudo_lm.numbers(texts, pieces)
+        words = [whole.findall(t.lower()) for t in texts]
+        said = [w for ws in words for w in ws]
+        assert sizes.tolist() == list(map(len, words)) and [pieces.words[i] for i in source.tolist()] == said
+        assert ids.tolist() == [{"the": 1, ",": 2}.get(w) or pseudo_lm.bucket(w) for w in said]
+
+
+def test_texts_are_encoded_once_for_training_and_scoring(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(i):
+        read.add(1)
+        return f"the cat {i} sat on, the mat"
+
+    said = F.udf(counting, "string").asNondeterministic()
+    docs = spark.range(30).select(F.col("id").alias("doc_id"), said("id").alias("text"))
+    rows = pseudo_lm.pseudo_likelihood(docs, ["doc_id"]).collect()
+    assert len(rows) == 30 and all(r.n_tokens == 8 and r.log_likelihood < 0 for r in rows)
+    assert read.value == 60         # counted, then encoded
+
+
 def test_pseudo_likelihood_of_odd_documents(spark):
     docs = odd_documents(spark)
     words, weights = pseudo_lm.train(docs, rounds=1)
