@@ -8,10 +8,11 @@ predicted from both sides.
 The network's vocabulary is the corpus's most frequent words, and buckets for the others. A word of
 a bucket has the probability of the bucket, times that of the word among the bucket's words, by how
 often the corpus has them: the KNOWN most frequent are at hand in every task, the others are joined.
-Texts are cut into tokens twice, to count the words and to write their ids, which training and scoring
-read. Training runs where the texts are: in every round each task starts from the same weights, learns from its
-share of the documents, and the weights are averaged by the number of tokens they were learned
-from. A document belongs to one round, and one in MASK_EVERY of its tokens is hidden there.
+Texts are cut into tokens twice, to count the words and to write their ids, which training and
+scoring read. Training runs where the texts are: in every round each task starts from the same
+weights, learns from its share of the documents, and the weights are averaged by the number of
+tokens they were learned from. A document belongs to one round, and one in MASK_EVERY of its
+tokens is hidden there.
 """
 
 import re
