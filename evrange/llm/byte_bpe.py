@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from evrange.llm import pretokens
-from evrange.llm.common import col, fresh
+from evrange.llm.common import col, fresh, giving_back
 
 #: Chunks that a worker keeps: few enough to stay beside what other operators keep there.
 CACHED = 250_000
@@ -150,7 +150,7 @@ def encode(docs: DataFrame, tokens: list[bytes], pattern: str, text: str = "text
             codec.table.known.clear()
 
     kinds = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, schema))
-    return safe.mapInArrow(run, kinds).toDF(*schema.names)
+    return safe.mapInArrow(giving_back(run), kinds).toDF(*schema.names)
 
 
 def digests(encoded: DataFrame, keep: list[str], ids: str = "ids", decoded: str = "decoded") -> DataFrame:

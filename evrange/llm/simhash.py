@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from evrange.llm import components
-from evrange.llm.common import col, fresh, staged
+from evrange.llm.common import col, fresh, giving_back, staged
 
 MAX_BITS = 4
 SHIFT, WIDTH = (0, 22, 43), (22, 21, 21)
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int, keep: list, text: str = "text")
             fps = [fingerprint(t.as_py(), shingle) for t in batch.column(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps, pa.int64())], [*names, "fp"])
 
-    return table.mapInArrow(run, f"{schema}, fp long").toDF(*kept.columns, "fp")
+    return table.mapInArrow(giving_back(run), f"{schema}, fp long").toDF(*kept.columns, "fp")
 
 
 # --- keys
@@ -222,9 +222,9 @@ def links(fps: DataFrame, bits: int) -> DataFrame:
                 k, f = keys(values[i:i + 4096])
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(f)], ["key", "fp"])
 
-    rows = (fps.select("fp").mapInArrow(emit, "key long, fp long")
+    rows = (fps.select("fp").mapInArrow(giving_back(emit), "key long, fp long")
             .repartition("key").sortWithinPartitions("key", "fp"))
-    scanned = staged(rows.mapInArrow(_scan(bits), "a long, b long, key long, tile long"))
+    scanned = staged(rows.mapInArrow(giving_back(_scan(bits)), "a long, b long, key long, tile long"))
     near = scanned.where("key IS NULL").select("a", "b")
     crowded = scanned.where("key IS NOT NULL")
     if crowded.isEmpty():

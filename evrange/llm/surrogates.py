@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from evrange.llm import entities
-from evrange.llm.common import col, fresh, staged
+from evrange.llm.common import col, fresh, giving_back, staged
 
 #: Up to this many redrawn entities are broadcast; more are joined to the documents.
 BROADCAST_REDRAWN = 200_000
@@ -27,7 +27,7 @@ def distinct_entities(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in seen], pa.string()),
                                               pa.array([c for _, c in seen], pa.string())], ["kind", "canonical"])
 
-    return docs.select(col(text).alias("t")).mapInArrow(run, "kind string, canonical string").distinct()
+    return docs.select(col(text).alias("t")).mapInArrow(giving_back(run), "kind string, canonical string").distinct()
 
 
 def _drawn(wanted: DataFrame, key: bytes) -> DataFrame:
@@ -164,4 +164,4 @@ def _rewritten(table: DataFrame, key: bytes, place: int, known) -> DataFrame:
             columns[place] = pa.array([t for t, _ in done], pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in done], pa.int32())], [*kept, "n"])
 
-    return table.mapInArrow(run, f"{schema}, n int")
+    return table.mapInArrow(giving_back(run), f"{schema}, n int")

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from evrange.llm.common import col, fresh, staged
+from evrange.llm.common import col, fresh, giving_back, staged
 
 SAMPLE = 20_000         # labelled rows that the grammar is fitted on, at most
 CANDIDATES = 100_000    # features of toxic texts that are counted in the other texts, at most
@@ -183,7 +183,7 @@ def _without_copies(sample: DataFrame) -> DataFrame:
                                               pa.array(keys, pa.list_(pa.string()))], ["i", "text", "y", "words", "pairs", "keys"])
 
     keyed = sample.withColumn("i", F.col("i").cast("string")).mapInArrow(
-        run, "i string, text string, y int, words string, pairs array<int>, keys array<string>")
+        giving_back(run), "i string, text string, y int, words string, pairs array<int>, keys array<string>")
     texts = staged(keyed.groupBy("words", "y").agg(F.min_by(F.struct("i", "text", "pairs", "keys"), F.struct("i", "text")).alias("one"))
                    .select("words", "y", "one.*"))
     members = texts.select("y", "i", "words", F.posexplode("keys").alias("band", "key"))
@@ -213,7 +213,7 @@ def _count(sample: DataFrame, wanted=None) -> DataFrame:
                 total = {}
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.string()), pa.array(total.values(), pa.int64())], ["feature", "n"])
 
-    return sample.select("text").mapInArrow(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    return sample.select("text").mapInArrow(giving_back(run), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _llr(a, n_a, b, n_b):
@@ -327,7 +327,7 @@ def _measured(docs: DataFrame, arcs: dict, keep: list[str], text: str = "text")
                                              [*names, *(f"x{k}" for k in range(FEATURES))])
 
     table = docs.select(*(col(c).alias(n) for c, n in zip(keep, names)), col(text).alias("t"))
-    return table.mapInArrow(run, schema).toDF(*keep, *(f"x{k}" for k in range(FEATURES)))
+    return table.mapInArrow(giving_back(run), schema).toDF(*keep, *(f"x{k}" for k in range(FEATURES)))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
