@@ -118,3 +118,24 @@ def test_chains_of_links(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)] + [(200, 200 + i) for i in range(1, 30)]
     found = {r.u: r.v for r in components.stars(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(1, 41)}, 101: 100, **{200 + i: 200 for i in range(1, 30)}}
+
+
+@pytest.mark.parametrize("kind", ["long", "binary", "string"])
+def test_long_chains_are_gathered_in_the_tasks(spark, monkeypatch, kind):
+    # a path over shuffled nodes, which took some ten rounds of four tables each, a star, and a pair
+    nodes = np.random.default_rng(3).permutation(600)
+    edges = [*zip(nodes[:500].tolist(), nodes[1:500].tolist()), *((int(nodes[500]), int(x)) for x in nodes[501:560]), (int(nodes[570]), int(nodes[571]))]
+    name = {"long": lambda x: x - 300, "binary": lambda x: bytes([x // 256 + 127, x % 256]), "string": lambda x: f"é{x:03d}"}[kind]
+    expected = {}
+    for part in (nodes[:500], nodes[500:560], nodes[570:572]):
+        low = int(min(part))
+        expected |= {name(int(x)): name(low) for x in part if x != low}
+    written = []
+    monkeypatch.setattr(components, "staged", lambda df, real=components.staged: written.append(df) or real(df))
+    table = spark.createDataFrame([(name(a), name(b)) for a, b in edges], f"a {kind}, b {kind}")
+    found = lambda: {plain(r.u): plain(r.v) for r in components.stars(table).collect()}
+    plain = lambda x: bytes(x) if kind == "binary" else x
+    assert found() == expected
+    assert len(written) == 2
+    monkeypatch.setattr(components, "PIECE", 50)
+    assert found() == expected
